@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from tidemark.llm.packing import op5_packing
 from tidemark.llm.pii import op10_pii
 from tidemark.llm.quality import op1_quality
+from tidemark.llm.token_counts import op2_token_counts
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_token_counts": op2_token_counts,
+    "op5_packing": op5_packing,
     "op10_pii": op10_pii,
 }
 
