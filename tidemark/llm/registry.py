@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from tidemark.llm.mixing import op7_mixing
 from tidemark.llm.packing import op5_packing
 from tidemark.llm.pii import op10_pii
 from tidemark.llm.quality import op1_quality
+from tidemark.llm.secrets import op6_secrets
 from tidemark.llm.token_counts import op2_token_counts
 
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
     "op5_packing": op5_packing,
+    "op6_secrets": op6_secrets,
+    "op7_mixing": op7_mixing,
     "op10_pii": op10_pii,
 }
 
