@@ -8,6 +8,7 @@ from tidemark.llm.pii import op10_pii
 from tidemark.llm.quality import op1_quality
 from tidemark.llm.secrets import op6_secrets
 from tidemark.llm.sharding import op8_sharding
+from tidemark.llm.simhash import op4_simhash
 from tidemark.llm.token_counts import op2_token_counts
 from tidemark.llm.token_files import op3_token_files
 
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
     "op3_token_files": op3_token_files,
+    "op4_simhash": op4_simhash,
     "op5_packing": op5_packing,
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
