@@ -12,6 +12,19 @@ from pyspark.sql import functions as F
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+#: Stands for a null doc_id where pandas would turn the column into floats, and sorts first.
+NO_ID = -(2**63)
+
+
+def doc_ids() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long")).alias("doc_id")
+
+
+def with_null_ids(df: DataFrame) -> DataFrame:
+    """Turn the mark of ``doc_ids`` back into null."""
+    return df.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID).cast("long")))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -45,10 +58,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_or_empty(col: str = "text") -> Column:
-    return F.coalesce(F.col(col), F.lit(""))
-
-
 def words_of(text: Column) -> Column:
     """Words of a text: maximal runs without white space."""
     return F.array_remove(F.split(text, SPACES, -1), "")

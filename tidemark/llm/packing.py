@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encoder
-from tidemark.llm.common import documents, written
+from tidemark.llm.common import doc_ids, documents, with_null_ids, written
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, window long, full boolean, offset long"
 
@@ -93,7 +93,7 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", size: int = 2048
         if left := [r for w in windows.rest() for r in rows(w, False)]:
             yield pd.DataFrame(left, columns=names)
 
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    whole = docs.select(doc_ids(), F.coalesce(F.col(text), F.lit("")).alias("text"))
     pieces = written(whole.mapInPandas(in_partition, columns), "pieces")
     return _merged(pieces, names, size, fan_in)
 
@@ -134,7 +134,7 @@ def _merged(pieces: DataFrame, names: list[str], size: int, fan_in: int) -> Data
             done = done.unionByName(merged.filter(F.col("_n") > size // 2).drop("_n"))
             merged = merged.filter(F.col("_n") <= size // 2).drop("_n")
         open_ = merged
-    return done.unionByName(open_).withColumnRenamed("window", "sequence_id").drop("full")
+    return with_null_ids(done.unionByName(open_)).withColumnRenamed("window", "sequence_id").drop("full")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.minhash import op9_minhash
 from tidemark.llm.mixing import op7_mixing
 from tidemark.llm.packing import op5_packing
 from tidemark.llm.pii import op10_pii
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
+    "op9_minhash": op9_minhash,
     "op10_pii": op10_pii,
 }
 

@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, power_bounds, with_range_bucket, written
+from tidemark.llm.common import doc_ids, documents, power_bounds, with_null_ids, with_range_bucket, written
 
 BITS = 64
 #: Code points up to which a longer term votes with more weight.
@@ -98,11 +98,11 @@ def with_next(docs: DataFrame, text: str = "text", bucket_rows: int = BUCKET_ROW
     Ties of doc_id go by text. Ranges of doc_ids are sorted each for itself; every range also
     gets, as a ghost row, the first document of the next, so no sort or window spans the table.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(doc_ids(), F.coalesce(F.col(text), F.lit("")).alias("text"))
     bounds = power_bounds(rows.select("doc_id"), "doc_id", bucket_rows)
     rows = with_range_bucket(rows, "doc_id", bounds)
     # At most one row for each range, and there are at most 65,536.
-    firsts = [tuple(r) for r in with_range_bucket(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", bounds)
+    firsts = [tuple(r) for r in with_range_bucket(docs.select(doc_ids()), "doc_id", bounds)
               .groupBy("bucket").agg(F.min("doc_id").alias("first")).orderBy("bucket").collect()]
     heads = [(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)]
     heads = docs.sparkSession.createDataFrame(heads, "doc_id long, previous int")
@@ -134,7 +134,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str, radius: int = 3) -> DataFrame:
     pair = votes.groupBy("bucket", "n").agg(F.max(F.when(F.col("side") == 0, F.col("fp"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("fp"))).alias("b"))
     about = rows.select("bucket", "n", "doc_id", "ghost", F.length("text").cast("long").alias("n_chars"), F.sha2(change, 256).alias("edited_sha256"))
     joined = about.join(pair, ["bucket", "n"]).withColumn("next", F.lead("a").over(Window.partitionBy("bucket").orderBy("n")))
-    found = written(joined.filter(~F.col("ghost")), "fingerprints")
+    found = written(with_null_ids(joined.filter(~F.col("ghost"))), "fingerprints")
     queries = found.filter(F.col("doc_id") % 100 == 0)
     sizes = found.groupBy("a").agg(F.count("*").alias("docs"))
     near = neighbours(queries.select(F.col("a").alias("fp")), sizes.select(F.col("a").alias("fp")), radius)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encoder
-from tidemark.llm.common import documents, new_folder, written
+from tidemark.llm.common import doc_ids, documents, new_folder, with_null_ids, written
 
 INDEX_MAGIC, TABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A51, 0x184D2A5E, 0x8F92EAB1
 #: Ids after which a frame ends; a longer document has a frame for itself.
@@ -141,7 +141,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_4
     writes under a name of its own and renames when done, so a task that runs
     twice leaves one whole file.
     """
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    whole = docs.select(doc_ids(), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = whole.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,7 +182,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                             columns=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = max(1, manifest.count())
-    return manifest.select("path", "start").repartition(n).mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return with_null_ids(manifest.select("path", "start").repartition(n).mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
