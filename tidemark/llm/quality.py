@@ -101,7 +101,8 @@ def quality_rules(
     their own. Columns of ``docs`` named like an added one are replaced.
     """
     host_key = F.coalesce(F.col(host).cast("string"), F.lit("\u0000"))
-    rows = base_counts(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_host", F.xxhash64(host_key)), text)
+    # The row number comes last: no filter moves below it, where it would evaluate the counts' nested parts again and again.
+    rows = base_counts(docs.withColumn("_host", F.xxhash64(host_key)), text).withColumn("_row", F.monotonically_increasing_id())
     each = (
         docs.select(F.xxhash64(host_key).alias("host"), lines_of(F.coalesce(F.col(text), F.lit(""))).alias("l"))
         .select("host", F.transform("l", lambda x: F.xxhash64(normal_line(x))).alias("l"))
