@@ -1,21 +1,24 @@
-"""Token ids by public tokenizers, with a cache of the pieces between spaces."""
+"""Token ids by public tokenizers: the library's own for unusual texts, rank tables of the same vocabulary for plain ones."""
 
 from __future__ import annotations
 
+import base64
 import functools
+import json
 import os
 import re
-from itertools import chain
 
 import numpy as np
 
 #: Texts with other characters go to the library whole: their white space, case
 #: or normal form may need its own rules.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ«»„“”‘’…–—]*")
-#: A space beside other white space: how it splits depends on both sides.
-RUNS = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
-#: Entries that one worker keeps of pieces met so far.
-CACHE = 400_000
+#: Pieces whose counts one worker keeps.
+CACHE = 100_000
+#: Pre-tokens of the vocabulary with word ends (fixed by its file).
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Marks the end of a word where ranks are looked up; no plain text has it.
+END = "\x00"
 
 
 def tokenizer_path(name: str) -> str:
@@ -24,70 +27,101 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class PieceCache(dict):
-    """Piece -> ids (or their count); unknown pieces are encoded once and kept, up to ``CACHE`` of them."""
+def _byte_chars() -> dict[str, int]:
+    """Byte-level vocabularies spell a byte as itself if printable, else as the next free character from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(rest)}
 
-    def __init__(self, encode, known=()):
-        super().__init__(known)
-        self.encode, self.room = encode, CACHE
 
-    def __missing__(self, piece):
-        found = self.encode(piece)
-        if self.room > 0:
-            self.room -= 1
-            self[piece] = found
-        return found
+def _ranks_with_word_ends(path: str) -> dict[bytes, int] | None:
+    """Bytes of each token, ``</w>`` as ``END``, with its id; None if ids do not follow the order of merges."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocab, of = model["vocab"], _byte_chars()
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [vocab[a + b] for a, b in merges]
+    if ids != sorted(ids) or len(set(ids)) != len(ids):
+        return None
+
+    def spelled(token: str) -> bytes:
+        word = token.removesuffix("</w>")
+        return bytes(of[c] for c in word) + (END.encode() if word != token else b"")
+
+    return {spelled(t): i for t, i in vocab.items() if not t.startswith("<|")}
 
 
 class Encoder:
     """Ids of whole texts, equal to ``encode(text, add_special_tokens=False)`` of the library.
 
-    Neither vocabulary has a token across the border before a single space, so
-    a text is the concatenation of the pieces between spaces. That does not
-    hold where spaces meet other white space or a special token may appear;
-    such texts, and those outside ``PLAIN``, are encoded whole.
+    Plain texts are encoded by ranks: merging the pair of lowest rank first
+    gives the same ids when ranks follow the order of merges. Other texts,
+    and those in which a special token may appear, go to the library.
     """
 
-    def __init__(self, name: str, known=(), lengths: bool = False):
+    def __init__(self, name: str, counts: dict[str, int] | None = None):
+        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.library = Tokenizer.from_file(tokenizer_path(name))
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        #: One vocabulary drops white space, the other keeps it at the front of the next piece.
-        self.drops_space = self.library.normalizer is not None
-        made = (lambda p: len(self.whole(p))) if lengths else self.whole
-        space = "" if self.drops_space else " "
-        self.cache = PieceCache(lambda p: made(space + p), known)
-        self.first = PieceCache(made)
+        path = tokenizer_path(name)
+        self.library = Tokenizer.from_file(path)
+        self.word_ends = self.library.normalizer is not None
+        self.split = regex.compile(WORDS).findall
+        if self.word_ends:
+            ranks, pattern = _ranks_with_word_ends(path), rf"(?:{WORDS.replace(r'[^\s', r'[^\x00\s')})\x00"
+        else:
+            import public_tokenizers
+
+            with open(path.removesuffix(".json") + ".tiktoken", "rb") as f:
+                ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+            pattern = public_tokenizers.PATTERN
+        self.fast = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}) if ranks else None
+        self.counts = _Counts(self, counts or {})
 
     def whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def pieces(self, text: str) -> list[str] | None:
-        """The text cut at single spaces, or None if it has to be encoded whole."""
-        if not PLAIN.fullmatch(text) or "<|" in text:
-            return None
-        if self.drops_space:
-            return ["", *text.lower().split()]
-        return None if any(x in text for x in RUNS) else text.split(" ")
-
-    def _found(self, text: str):
-        """What the caches hold for each piece of ``text``, in order; None if it has to be encoded whole."""
-        if (pieces := self.pieces(text)) is None:
-            return None
-        rest = map(self.cache.__getitem__, pieces[1:])
-        return chain((self.first[pieces[0]],), rest) if pieces[0] else rest
+    def plain(self, text: str) -> bool:
+        return self.fast is not None and "<|" not in text and PLAIN.fullmatch(text) is not None
+
+    def by_rank(self, text: str) -> list[int]:
+        """Ids of a plain text, in lower case where the vocabulary wants that."""
+        if self.word_ends:
+            text = "".join([w + END for w in self.split(text)])
+        return self.fast.encode_ordinary(text)
 
     def ids(self, text: str) -> np.ndarray:
-        found = self._found(text)
-        if found is None:
+        if not self.plain(text):
             return np.array(self.whole(text), dtype="<u4")
-        return np.fromiter(chain.from_iterable(found), dtype="<u4")
+        return np.array(self.by_rank(text.lower() if self.word_ends else text), dtype="<u4")
+
+    def pieces(self, text: str) -> list[str] | None:
+        """Pieces whose counts add up to that of ``text``, or None if it has to be encoded whole.
+
+        They are the parts between white space, for a vocabulary that drops it.
+        """
+        return text.lower().split() if self.word_ends and self.plain(text) else None
 
     def count(self, text: str) -> int:
-        found = self._found(text)
-        return len(self.whole(text)) if found is None else sum(found)
+        pieces = self.pieces(text)
+        return len(self.ids(text)) if pieces is None else sum(map(self.counts.__getitem__, pieces))
+
+
+class _Counts(dict):
+    """Counts of pieces: those given, then up to ``CACHE`` met by this worker; others are encoded each time."""
+
+    def __init__(self, encoder: Encoder, known: dict[str, int]):
+        super().__init__(known)
+        self.encoder, self.room = encoder, CACHE
+
+    def __missing__(self, piece: str) -> int:
+        n = len(self.encoder.by_rank(piece))
+        if self.room > 0:
+            self.room -= 1
+            self[piece] = n
+        return n
 
 
 @functools.lru_cache(maxsize=4)

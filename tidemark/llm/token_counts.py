@@ -26,10 +26,10 @@ def frequent_lengths(docs: DataFrame, text: str, tokenizer: str, sample_docs: in
     depend on the sample. Both bounds hold whatever the table's size, and no
     piece is shuffled.
     """
-    enc, seen = Encoder(tokenizer, lengths=True), Counter()
+    enc, seen = Encoder(tokenizer), Counter()
     for row in docs.select(F.col(text).alias("t")).filter(F.length("t") < 50_000).limit(sample_docs).toLocalIterator():
-        seen.update((enc.pieces(row.t) or ())[1:])
-    return {p: enc.cache[p] for p, _ in seen.most_common(table_size)}
+        seen.update(enc.pieces(row.t) or ())
+    return {p: enc.counts[p] for p, _ in seen.most_common(table_size)}
 
 
 def token_counts(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", text: str = "text", limit: int = 2048,
@@ -48,7 +48,7 @@ def token_counts(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", text: st
     def counted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         if run not in _workers:  # a worker that is used again keeps its cache
             _workers.clear()
-            _workers[run] = Encoder(tokenizer, table.value, lengths=True)
+            _workers[run] = Encoder(tokenizer, table.value)
         for series in texts:
             yield pd.Series([_workers[run].count(t) for t in series], dtype="int64")
 
