@@ -45,12 +45,18 @@ def with_base_spans(df: DataFrame) -> DataFrame:
 def labelled_samples(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """(label, value): 1 for values that base patterns find, 0 for words of eight or more characters of other texts.
 
-    Both come from documents with the smallest hashes, at most ``sample_docs``
+    Both come from the distinct texts with the smallest hashes, at most ``sample_docs``
     of each kind; that bound holds at every size and only the models depend on it.
     """
     df = _texts(docs, text).select("_text", F.xxhash64("_text").alias("_order"))
     marked = r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
-    some = lambda want: df.filter(F.col("_text").rlike(marked) == want).orderBy("_order", "_text").limit(sample_docs)
+
+    def some(want: bool) -> DataFrame:
+        rows = df.filter(F.col("_text").rlike(marked) == want)
+        # Only hashes are sorted; the texts up to the last of them are read again.
+        last = rows.select("_order").distinct().orderBy("_order").limit(sample_docs).agg(F.max("_order")).first()[0]
+        return rows.filter(F.col("_order") <= F.lit(last).cast("long")).dropDuplicates(["_order"])
+
     found = with_base_spans(some(True))
     values = F.concat(
         F.transform("_assign", lambda x: F.regexp_extract(x["hit"], ASSIGN, 2)),
