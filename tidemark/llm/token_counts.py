@@ -27,7 +27,7 @@ def frequent_lengths(docs: DataFrame, text: str, tokenizer: str, sample_docs: in
     piece is shuffled.
     """
     enc, seen = Encoder(tokenizer), Counter()
-    for row in docs.select(F.col(text).alias("t")).filter(F.length("t") < 50_000).limit(sample_docs).toLocalIterator():
+    for row in docs.select(F.col(text).alias("t")).filter(F.length("t") < 20_000).take(sample_docs):
         seen.update(enc.pieces(row.t) or ())
     return {p: enc.counts[p] for p, _ in seen.most_common(table_size)}
 
