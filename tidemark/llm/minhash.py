@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents, written
 
 SHINGLE = 5
-BANDS, ROWS = 16, 4
+#: A pair of similarity 0.8 shares a band with a probability of 0.9994, one of 0.4 with 0.03.
+BANDS, ROWS = 40, 8
+#: A sketch has the two lowest bits of each register, packed in bigints.
 REGISTERS = BANDS * ROWS
 #: Words that are worked on at once in a Python worker.
 BATCH_WORDS = 150_000
@@ -53,20 +55,32 @@ def prob_minhash(docs: np.ndarray, elements: np.ndarray, weights: np.ndarray, n_
     kept = np.zeros((n_docs, REGISTERS), np.uint64)
     at, state, when = docs, elements, np.zeros(len(docs))
     while len(at):
-        state = state + _GOLDEN
-        random = _mix(state)
-        when = when - np.log(((random >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53) / weights
+        # When few elements are left, several arrivals of each are taken at once; later ones do no harm.
+        k = max(1, min(256, 8192 // len(at)))
+        states = state[:, None] + _GOLDEN * np.arange(1, k + 1, dtype=np.uint64)
+        random = _mix(states)
+        gaps = -np.log(((random >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53) / weights[:, None]
+        gaps[:, 0] += when
+        times = np.cumsum(gaps, axis=1)
         register = (_mix(random) % np.uint64(REGISTERS)).astype(np.int64)
-        np.minimum.at(first, (at, register), when)
-        mine = when == first[at, register]
-        kept[at[mine], register[mine]] = elements[mine]
+        doc = np.broadcast_to(at[:, None], register.shape)
+        np.minimum.at(first, (doc, register), times)
+        row, column = np.nonzero(times == first[doc, register])
+        kept[at[row], register[row, column]] = elements[row]
+        state, when = states[:, -1], times[:, -1]
         on = when < first.max(axis=1)[at]
         at, elements, weights, state, when = at[on], elements[on], weights[on], state[on], when[on]
     return kept
 
 
+def _packed(signature: np.ndarray) -> np.ndarray:
+    """Two bits of each register: 32 registers in a bigint."""
+    bits = np.stack([signature & np.uint64(1), (signature >> np.uint64(1)) & np.uint64(1)], axis=2).astype(np.uint8)
+    return np.packbits(bits.reshape(len(signature), -1), axis=1).view(np.int64)
+
+
 def _signed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """n_shingles, signature and bands in place of word hashes."""
+    """Number of shingles, sketch and bands in place of word hashes."""
     words = batch.column("words")
     ends = words.offsets.to_numpy()
     flat = words.values.to_numpy(zero_copy_only=False).view(np.uint64)
@@ -88,8 +102,8 @@ def _signed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         bands = pa.ListArray.from_arrays(
             np.concatenate([[0], np.cumsum(np.where(sizes == 0, 0, BANDS))]).astype(np.int32), pa.array(keys.ravel()[~empty].view(np.int64), pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [*head, pa.array(sizes, pa.int32()), lists((signature & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32), REGISTERS, pa.int32()), bands],
-            names=["doc_id", "k1", "k2", "n", "signature", "bands"])
+            [*head, pa.array(sizes, pa.int32()), lists(_packed(signature), REGISTERS // 32, pa.int64()), bands],
+            names=["doc_id", "k1", "k2", "n", "sketch", "bands"])
         start = stop
 
 
@@ -107,7 +121,7 @@ def shingle_set(words: Column) -> Column:
 
 
 def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, k1, k2 (128 bits of the words), n, signature and bands of every row."""
+    """doc_id, k1, k2 (128 bits of the words), n, sketch and bands of every row."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,7 +129,7 @@ def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
 
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.coalesce(F.col(text), F.lit(""))).alias("w")).select(
         "doc_id", F.xxhash64(F.lit(1), "w").alias("k1"), F.xxhash64(F.lit(2), "w").alias("k2"), F.transform("w", lambda x: F.xxhash64(x)).alias("words"))
-    return hashed.mapInArrow(sign, "doc_id long, k1 long, k2 long, n int, signature array<int>, bands array<bigint>")
+    return hashed.mapInArrow(sign, "doc_id long, k1 long, k2 long, n int, sketch array<bigint>, bands array<bigint>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -147,33 +161,47 @@ def _picked(nodes: DataFrame) -> DataFrame:
     return F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
 
 
-def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, text: str, threshold: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose shingle sets have a Jaccard similarity of ``threshold`` or more.
+def likely(a: str, b: str, threshold: float) -> Column:
+    """Whether sizes and sketches of structs ``a`` and ``b`` (node, n, sketch) allow for a similarity of ``threshold``.
 
-    Set sizes and signatures go first: a pair of similarity 0.8 shares fewer
-    than 40 % of 64 registers once in 10^10 times. The rest is exact.
+    Registers of similar texts agree with the probability s, their two bits with s + (1 - s) / 4;
+    at the threshold itself three pairs in a million fall short of 4.5 standard deviations.
     """
-    side = lambda c: signed.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("signature").alias(f"s{c}"))
-    alike = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda acc, x: acc + x)
-    likely = written(
-        pairs.join(side("a"), "a").join(side("b"), "b")
-        .filter((F.least("na", "nb") >= threshold * F.greatest("na", "nb")) & (alike >= 0.4 * REGISTERS)).select("a", "b"), "likely")
-    nodes = written(likely.select(F.col("a").alias("doc_id")).unionAll(likely.select(F.col("b").alias("doc_id"))).distinct(), "nodes")
+    differ = F.lit(0)
+    for i in range(REGISTERS // 32):
+        x = F.get(f"{a}.sketch", F.lit(i)).bitwiseXOR(F.get(f"{b}.sketch", F.lit(i)))
+        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555).cast("long")))
+    p = (1 - threshold) * 3 / 4
+    most = round(REGISTERS * p + 4.5 * (REGISTERS * p * (1 - p)) ** 0.5)
+    return (F.least(f"{a}.n", f"{b}.n") >= threshold * F.greatest(f"{a}.n", f"{b}.n")) & (differ <= most)
+
+
+def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, text: str, threshold: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose shingle sets have a Jaccard similarity of ``threshold`` or more, exactly."""
+    nodes = written(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct(), "nodes")
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(_picked(nodes), "doc_id")
     words = picked.select("doc_id", words_of(F.col("t")).alias("w"))
     # Rows that share a doc_id: the one that was signed.
     keys = signed.select("doc_id", "k1", "k2")
     sets = words.select("doc_id", F.xxhash64(F.lit(1), "w").alias("k1"), F.xxhash64(F.lit(2), "w").alias("k2"), shingle_set(F.col("w")).alias("s"))
     sets = written(sets.join(keys, ["doc_id", "k1", "k2"], "left_semi").dropDuplicates(["doc_id"]), "shingles")
-    both = likely.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     return both.withColumn("shared", shared).filter(F.col("shared") >= threshold * (F.size("sa") + F.size("sb") - F.col("shared"))).select("a", "b")
 
 
-def _leader_pairs(members: DataFrame, salt: Column) -> DataFrame:
-    """(a, b): every member of a bucket with the bucket's leader, the one with the smallest salted hash."""
-    leaders = members.groupBy("key").agg(F.min_by("node", F.struct(F.xxhash64("node", salt), F.col("node"))).alias("leader"))
-    return members.join(leaders, "key").filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(f"{a}.node", f"{b}.node").alias("a"), F.greatest(f"{a}.node", f"{b}.node").alias("b")]
+
+
+def _leader_pairs(members: DataFrame, leaders: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): members (key, x) with the leader (key, leader) of their bucket, where sketches allow it."""
+    known = leaders.join(signed.select(F.col("doc_id").alias("leader"), F.struct(F.col("doc_id").alias("node"), "n", "sketch").alias("y")), "leader").select("key", "y")
+    return members.join(known, "key").filter("x.node <> y.node").filter(likely("x", "y", threshold)).select(*_ordered("x", "y")).distinct()
+
+
+def _first(salt: Column) -> Column:
+    return F.min_by("x.node", F.struct(F.xxhash64("x.node", salt), F.col("x.node")))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", threshold: float = 0.8) -> DataFrame:
@@ -194,19 +222,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", threshold: float = 0.8)
     groups = written(groups, "groups")
     signed = written(
         worded.join(groups.withColumnRenamed("node", "doc_id"), ["k1", "k2", "doc_id"], "left_semi").dropDuplicates(["doc_id"]), "nodes-signed")
-    keyed = signed.select(F.col("doc_id").alias("node"), F.posexplode("bands").alias("band", "key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    keyed = signed.select(F.struct(F.col("doc_id").alias("node"), "n", "sketch").alias("x"), F.posexplode("bands").alias("band", "key"))
+    shared = signed.select(F.explode("bands").alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     members = written(keyed.join(shared, "key", "left_semi"), "buckets")
 
     # Rows that share a doc_id but not their words link their groups.
     own = worded.join(groups, ["k1", "k2"]).filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     links = written(own.join(groups.select(F.col("node").alias("a")).distinct(), "a", "left_semi").distinct(), "links")
-    leaders = written(_leader_pairs(members, F.col("band") % 4), "pairs")
-    tested, rounds = leaders, [leaders]
+    leaders = members.groupBy("key").agg(_first(F.col("band") % 4).alias("leader"))
+    tested = written(_leader_pairs(members, leaders, signed, threshold), "pairs")
+    rounds = [tested]
     comp = None
     for turn in range(3):
         if turn:
-            rounds.append(_mixed_pairs(members, comp, tested, turn))
+            rounds.append(_mixed_pairs(members, signed, comp, tested, turn, threshold))
             if rounds[-1].isEmpty():
                 break
             tested = tested.unionAll(rounds[-1])
@@ -217,21 +246,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", threshold: float = 0.8)
     return classed
 
 
-def _mixed_pairs(members: DataFrame, comp: DataFrame, tested: DataFrame, turn: int) -> DataFrame:
+def _mixed_pairs(members: DataFrame, signed: DataFrame, comp: DataFrame, tested: DataFrame, turn: int, threshold: float) -> DataFrame:
     """Untested pairs of different components that share a bucket: with a leader first (turn 1), then all."""
-    labelled = members.join(comp, "node", "left").select("key", "band", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
+    labelled = members.join(comp, F.col("x.node") == comp["node"], "left").select("key", "x", F.coalesce("comp", "x.node").alias("comp"))
+    mixed = labelled.groupBy("key").agg(F.min("comp").alias("p"), F.max("comp").alias("q")).filter("p <> q").select("key")
     labelled = written(labelled.join(mixed, "key", "left_semi"), "mixed")
     main = labelled.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
     at = labelled.join(main, "key")
     outside = at.filter("comp <> main")
     if turn == 1:
-        inside = at.filter("comp = main").groupBy("key").agg(F.min_by("node", F.struct(F.xxhash64("node", F.lit(17)), F.col("node"))).alias("other"))
-        met = outside.join(inside, "key")
+        leaders = at.filter("comp = main").groupBy("key").agg(_first(F.lit(17)).alias("leader"))
+        pairs = _leader_pairs(outside.select("key", "x"), leaders, signed, threshold)
     else:
-        other = labelled.select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
-        met = outside.join(other, "key").filter("comp <> other_comp")
-    pairs = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        other = labelled.select(F.col("key").alias("k"), F.col("x").alias("y"), F.col("comp").alias("c"))
+        # Sketches are compared inside the join, so pairs that cannot be links are never made.
+        met = outside.join(other, (F.col("key") == F.col("k")) & (F.col("comp") != F.col("c")) & likely("x", "y", threshold))
+        pairs = met.select(*_ordered("x", "y")).distinct()
     return written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
 
 
