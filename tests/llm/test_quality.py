@@ -73,6 +73,20 @@ def test_copies_are_left_alone(spark):
     assert all(r.kept for r in quality.quality_rules(docs).collect())
 
 
+def test_blocks_and_footers_are_removed_whole(spark):
+    block = ["home news shop contact", "all rights reserved by the owner", "we use cookies on this page"]
+    name = lambda i: "abc"[i // 10] + "klmnopqrst"[i % 10]
+    body = lambda i: " ".join(f"{name(i)}{name(k)}" for k in range(30))
+    texts = [f"{block[0]}\n{block[1]}\n{body(i)}\n{block[2]}" for i in range(30)]
+    only = "\n".join([*block[:2], "two words", block[2]])
+    docs = spark.createDataFrame([(i, t, "en", "h", 1, "x") for i, t in enumerate([*texts, only, *[body(0)] * 40])], DOCS)
+    got = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
+    words = sum(len(x.split()) for x in block)
+    assert all(got[i].removed_words == words and got[i].kept for i in range(30))
+    assert got[30].removed_words == words and not got[30].kept
+    assert all(got[i].removed_words == 0 and got[i].kept for i in range(31, 71))
+
+
 def test_empty_table_and_long_text(spark):
     assert quality.quality_rules(spark.createDataFrame([], DOCS)).count() == 0
     long = " ".join(f"w{i % 70_001}" for i in range(150_000))

@@ -65,36 +65,35 @@ def normal_line(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]", "0"), r"[\x20\x09-\x0D]+", " "))
 
 
-def frequent_lines(lines: DataFrame, host_docs: DataFrame, min_docs: int, share: float, varied: float) -> DataFrame:
+def frequent_lines(lines: DataFrame, host_texts: DataFrame, min_docs: int, share: float) -> DataFrame:
     """(host, line) pairs above their host's limit.
 
     ``lines`` has one row for each document and distinct line: host, line (hash)
-    and after (hash of the line that follows first). A line is above the limit
-    when more than ``max(min_docs, share * documents of the host)`` documents
-    hold it, and what follows it varies: a line of copied documents stands in
-    the same place each time and is left to near-duplicate removal.
+    and text (hash of the document's normalised lines). A line is above the limit when more than
+    ``max(min_docs, share * texts of the host)`` different texts hold it. A
+    group of copies counts as one text: its lines stand or fall by the others,
+    and copies are left to near-duplicate removal.
 
     Both steps combine on the map side, so a line that a third of all
-    documents hold costs one row for each task and following line.
+    documents hold costs one row for each task in the last exchange.
     """
     return (
-        lines.groupBy("host", "line", "after").agg(F.count("*").alias("n"))
-        .groupBy("host", "line").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_after"))
-        .filter(F.col("n_docs") > min_docs)
-        .join(host_docs, "host")
-        .filter((F.col("n_docs") > share * F.col("host_docs")) & (F.col("n_after") >= varied * F.col("n_docs")))
+        lines.distinct().groupBy("host", "line").agg(F.count("*").alias("n_texts"))
+        .filter(F.col("n_texts") > min_docs)
+        .join(host_texts, "host")
+        .filter(F.col("n_texts") > share * F.col("host_texts"))
         .select("host", "line")
     )
 
 
 def quality_rules(
     docs: DataFrame, host: str = "source", text: str = "text",
-    min_docs: int = 10, share: float = 0.001, varied: float = 0.5, min_left: float = 0.2, min_words: int = 10,
+    min_docs: int = 10, share: float = 0.001, min_left: float = 0.2, min_words: int = 10,
 ) -> DataFrame:
     """Judge every row of ``docs``; return its columns with the base counts, removed_words and kept.
 
     Lines are normalised and hashed; per host (null is a host of its own) the
-    documents that hold each line are counted, and lines above the limit
+    different texts that hold each line are counted, and lines above the limit
     (``frequent_lines``) count as removed. A document is depleted when fewer
     than ``min_words`` words, or less than ``min_left`` of its words, remain
     although lines were removed. Rows that repeat a doc_id are documents of
@@ -103,16 +102,13 @@ def quality_rules(
     host_key = F.coalesce(F.col(host).cast("string"), F.lit("\u0000"))
     # The row number comes last: no filter moves below it, where it would evaluate the counts' nested parts again and again.
     rows = base_counts(docs.withColumn("_host", F.xxhash64(host_key)), text).withColumn("_row", F.monotonically_increasing_id())
-    each = (
+    hashed = written(
         docs.select(F.xxhash64(host_key).alias("host"), lines_of(F.coalesce(F.col(text), F.lit(""))).alias("l"))
         .select("host", F.transform("l", lambda x: F.xxhash64(normal_line(x))).alias("l"))
-        .select("host", F.sort_array(F.transform("l", lambda x, i: F.struct(x.alias("line"), i.alias("i"), F.coalesce(F.get("l", i + 1), F.lit(0)).alias("after")))).alias("l"))
-        # The first place of each line of a document.
-        .select("host", F.explode(F.filter("l", lambda x, i: (i == 0) | (x["line"] != F.get("l", i - 1)["line"]))).alias("x"))
-        .select("host", "x.line", "x.after")
-    )
-    host_docs = docs.groupBy(F.xxhash64(host_key).alias("host")).agg(F.count("*").alias("host_docs"))
-    frequent = written(frequent_lines(each, host_docs, min_docs, share, varied), "frequent-lines")
+        .select("host", F.xxhash64("l").alias("text"), F.array_distinct("l").alias("l")), "line-hashes")
+    each = hashed.select("host", "text", F.explode("l").alias("line"))
+    host_texts = hashed.select("host", "text").distinct().groupBy("host").agg(F.count("*").alias("host_texts"))
+    frequent = written(frequent_lines(each, host_texts, min_docs, share), "frequent-lines")
     if frequent.count() <= BROADCAST_ROWS:
         frequent = F.broadcast(frequent)
     lines = F.transform("_lines", lambda x: F.struct(F.xxhash64(normal_line(x)).alias("line"), F.size(words_of(x)).alias("words")))
