@@ -7,14 +7,15 @@ kept. All but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import minhash, mixing, packing, pii, quality
 from tidemark.llm.common import documents, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return quality.quality_rules(docs).filter("kept").select(docs.columns)
+    """Documents that the quality rules reject go, and from the others the lines that too many texts of a host share; n_chars stays as dealt."""
+    return quality.quality_rules(docs).filter("kept").withColumn("text", F.col("clean_text")).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,6 +50,18 @@ def test_stages_follow_each_other(spark, sf_dir):
         assert at <= 2048
 
 
+def test_quality_stage_removes_frequent_lines(spark, tmp_path):
+    name = lambda i: "abc"[i // 10] + "klmnopqrst"[i % 10]
+    body = lambda i: " ".join(f"{name(i)}{name(k)}" for k in range(20))
+    texts = {i: (f"Home  news {i % 10}\n{body(i)}\n\n  All rights reserved. ", f"{body(i)}\n") for i in range(30)}
+    rows = [(i, t if i else f"{t}\n{t}", "en", "h", 1) for i, (t, _) in texts.items()] + [(100, texts[1][0], "en", "other", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).collect()}
+    assert {i: got[i] for i in range(1, 30)} == {i: want for i, (_, want) in texts.items() if i} and got[100] == texts[1][0]
+    clean = {r.doc_id: r.clean_text for r in quality.quality_rules(docs).collect()}
+    assert clean[0] == f"{body(0)}\n\n{body(0)}\n" and clean[100] == texts[1][0]
+
+
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 500
 

@@ -90,11 +90,12 @@ def quality_rules(
     docs: DataFrame, host: str = "source", text: str = "text",
     min_docs: int = 10, share: float = 0.001, min_left: float = 0.2, min_words: int = 10,
 ) -> DataFrame:
-    """Judge every row of ``docs``; return its columns with the base counts, removed_words and kept.
+    """Judge every row of ``docs``; return its columns with the base counts, removed_words, kept and clean_text.
 
     Lines are normalised and hashed; per host (null is a host of its own) the
     different texts that hold each line are counted, and lines above the limit
-    (``frequent_lines``) count as removed. A document is depleted when fewer
+    (``frequent_lines``) are removed: ``clean_text`` is the text without them, all
+    other lines as they came, and a null text stays null. A document is depleted when fewer
     than ``min_words`` words, or less than ``min_left`` of its words, remain
     although lines were removed. Rows that repeat a doc_id are documents of
     their own. Columns of ``docs`` named like an added one are replaced.
@@ -116,19 +117,21 @@ def quality_rules(
         rows.select("_row", F.col("_host").alias("host"), F.explode(lines).alias("x"))
         .select("_row", "host", "x.line", "x.words")
         .join(frequent, ["host", "line"], "left_semi")
-        .groupBy("_row").agg(F.sum("words").alias("_removed"))
+        .groupBy("_row").agg(F.sum("words").alias("_removed"), F.collect_set("line").alias("_gone"))
     )
+    others = F.filter(F.split(F.col(text), "\n", -1), lambda x: ~F.array_contains("_gone", F.xxhash64(normal_line(x))))
     left = F.col("n_words") - F.col("removed_words")
     depleted = (F.col("removed_words") > 0) & ((left < min_words) | (left < min_left * F.col("n_words")))
     return (
         rows.drop("_lines", "_host").join(removed, "_row", "left")
         .withColumn("removed_words", F.coalesce("_removed", F.lit(0)).cast("long"))
         .withColumn("kept", ~F.col("base_failed") & ~depleted)
-        .drop("_row", "_removed")
+        .withColumn("clean_text", F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(others, "\n")))
+        .drop("_row", "_removed", "_gone")
     )
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "source")
     return quality_rules(docs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words", "clean_text")
