@@ -67,6 +67,19 @@ def test_chains_copies_and_odd_rows(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_repeated_shingles_lose_no_link(spark):
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for i in range(20):
+        body, line = " ".join(word() for _ in range(204)), " ".join(word() for _ in range(5))
+        rows += [(4 * i, body), (4 * i + 1, f"{body} {' '.join([line] * 40)}")]
+        rows += [(4 * i + 2, f"{line} {line} {body[::-1]}"), (4 * i + 3, f"{' '.join([line] * 40)} {body[::-1]}")]
+    got = {tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = classes(rows)
+    assert got == set(want.items()) and len(set(want.values())) == 40
+
+
 def test_signatures_estimate_probability_jaccard():
     rnd = np.random.default_rng(0)
     elements = rnd.integers(0, 2**63, 60).astype(np.uint64)

@@ -1,4 +1,4 @@
-"""Near duplicates: ProbMinHash signatures of weighted word shingles, banding, exact verification."""
+"""Near duplicates: ProbMinHash signatures of word shingles, banding, exact verification."""
 
 from __future__ import annotations
 
@@ -31,15 +31,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def weighted_shingles(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of a document's word hashes and their counts; a shorter document is one shingle."""
+def shingles(words: np.ndarray) -> np.ndarray:
+    """Distinct shingles of a document's word hashes; a shorter document is one shingle."""
     n = min(SHINGLE, len(words))
     if n == 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64)
     sums = np.zeros(len(words) - n + 1, np.uint64)
     for k in range(n):
         sums = _mix(sums + words[k:len(words) - n + 1 + k] + _GOLDEN)
-    return np.unique(sums, return_counts=True)
+    return np.unique(sums)
 
 
 def prob_minhash(docs: np.ndarray, elements: np.ndarray, weights: np.ndarray, n_docs: int) -> np.ndarray:
@@ -80,7 +80,11 @@ def _packed(signature: np.ndarray) -> np.ndarray:
 
 
 def _signed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Number of shingles, sketch and bands in place of word hashes."""
+    """Number of shingles, sketch and bands in place of word hashes.
+
+    Every shingle weighs 1, however often it is repeated: then registers estimate
+    the Jaccard similarity of shingle sets, by which links are defined.
+    """
     words = batch.column("words")
     ends = words.offsets.to_numpy()
     flat = words.values.to_numpy(zero_copy_only=False).view(np.uint64)
@@ -88,11 +92,9 @@ def _signed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     while start < batch.num_rows:
         stop = max(start + 1, int(np.searchsorted(ends, ends[start] + BATCH_WORDS, "right")) - 1)
         stop = min(stop, batch.num_rows)
-        sets = [weighted_shingles(flat[ends[i]:ends[i + 1]]) for i in range(start, stop)]
-        sizes = np.array([len(s[0]) for s in sets])
-        signature = prob_minhash(
-            np.repeat(np.arange(len(sets)), sizes), np.concatenate([s[0] for s in sets]),
-            np.concatenate([s[1] for s in sets]).astype(np.float64), len(sets))
+        sets = [shingles(flat[ends[i]:ends[i + 1]]) for i in range(start, stop)]
+        sizes = np.array([len(s) for s in sets])
+        signature = prob_minhash(np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), np.ones(sizes.sum()), len(sets))
         keys = np.zeros((len(sets), BANDS), np.uint64)
         for r in range(ROWS):
             keys = _mix(keys + signature.reshape(-1, BANDS, ROWS)[:, :, r] + np.arange(BANDS, dtype=np.uint64) * _GOLDEN + _GOLDEN)
