@@ -5,6 +5,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidemark.llm import minhash
 
@@ -80,6 +81,19 @@ def test_repeated_shingles_lose_no_link(spark):
     assert got == set(want.items()) and len(set(want.values())) == 40
 
 
+def test_pairs_beside_a_foreign_leader(spark, monkeypatch):
+    rnd = random.Random(6)
+    text = lambda: " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(60))
+    rows = []
+    for i in range(10, 130, 10):  # one bucket for each ten ids; the last member resembles neither other
+        near = text()
+        rows += [(i, near), (i + 1, near + " end"), (i + 9, text())]
+    signed = minhash.signatures
+    monkeypatch.setattr(minhash, "signatures", lambda docs, text: signed(docs, text).withColumn("bands", F.expr("array(doc_id div 10)")))
+    got = {tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == set(classes(rows).items())
+
+
 def test_signatures_estimate_probability_jaccard():
     rnd = np.random.default_rng(0)
     elements = rnd.integers(0, 2**63, 60).astype(np.uint64)

@@ -238,8 +238,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", threshold: float = 0.8)
     for turn in range(3):
         if turn:
             rounds.append(_mixed_pairs(members, signed, comp, tested, turn, threshold))
+            # Without pairs with leaders, pairs of other members can still be untested.
             if rounds[-1].isEmpty():
-                break
+                continue
             tested = tested.unionAll(rounds[-1])
         links = links.unionAll(written(verified(rounds[-1], signed, docs, text, threshold), "links"))
         comp = components(links)
