@@ -75,6 +75,17 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert got[4] == {("ssn", "219-09-9999")} and got[5] == set() and got[6] == {("local_phone", "(555) 123-4567")} and got[7] == set()
 
 
+def test_iban_ends_by_its_length(spark):
+    spaced, compact, other = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    texts = [(f"ñ IBAN {iban} {after}", [iban]) for iban in (spaced, compact) for after in ("Amount due", "Please pay", "250 EUR", "BIC COBADEFFXXX", "COBADEFFXXX", "A", "", "€")]
+    texts += [(f"é NR12 {spaced} Please AT12 {spaced} DE12 {other} {compact} NOW", [spaced, spaced, other, compact]), (f"{other} DE88 3704 0044 0532 0130 00 X", [other]),
+              (f"{compact}X {compact}1 x{compact}", []), ("AB12 " * 10_000 + spaced + " Z", [spaced])]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    for r in pii.personal_data(docs).collect():
+        assert [r.text[x.start:x.end] for x in r.spans if x.kind == "iban"] == texts[r.doc_id][1], r.text[:80]
+    assert pii.masked(docs).filter("doc_id = 0").first().text == "ñ IBAN [IBAN] Amount due"
+
+
 def test_masked(spark):
     docs = spark.createDataFrame([(1, "é a@b.cc and +1 (555) 123-4567!", "s"), (2, None, "s"), (3, "plain", "s")], "doc_id long, text string, spans string")
     out = pii.masked(docs)

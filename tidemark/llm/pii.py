@@ -8,14 +8,25 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents
 from tidemark.llm.spans import EMPTY, apart_from, joined, labelled, replaced, with_matches
 
-# The contract's patterns, with possessive repeats (no match can give anything
-# back) and look-behinds in place of retries inside a run, so that long runs
+# The contract's patterns, with possessive repeats (where no match can give
+# anything back) and look-behinds in place of retries inside a run, so that long runs
 # of digits or letters cost time in proportion to their length.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}+"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: Length of an IBAN by country code.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_LISTED = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+_CODES = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+#: A listed country's IBAN ends by its length, whatever follows after a space; of other codes the whole run is proposed.
+#: A match takes in the first four characters only (group 1 is the proposal), so a false one hides nothing that begins inside it.
+IBAN = (r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})"
+        rf"(?=((?:{_LISTED}|(?!{_CODES})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+)(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}")
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 LOCAL_PHONE = r"(?<![0-9+(-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9-])"
 
@@ -99,7 +110,7 @@ def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     df = with_matches(df, "_ip", whole, IP, F.col("_digits") & t.rlike(r"[0-9]\.[0-9]+\.[0-9]"), _ip_parts)
     df = with_matches(df, "_card", whole, CARD, F.col("_digits"), _card)
     df = with_matches(df, "_phone", whole, PHONE, F.col("_digits") & F.contains(t, F.lit("+")), _phone)
-    df = with_matches(df, "_iban", whole, IBAN, F.col("_digits"), yes)
+    df = with_matches(df, "_iban", whole, IBAN, F.col("_digits"), mod97, ahead=4)
     df = with_matches(df, "_ssn", whole, SSN, F.col("_digits") & F.contains(t, F.lit("-")), yes)
     df = with_matches(df, "_local_phone", whole, LOCAL_PHONE, F.col("_digits"), yes)
     df = df.withColumn("_all", F.concat(*[f"_{k}" for k in BASE]))

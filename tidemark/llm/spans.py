@@ -10,23 +10,25 @@ from pyspark.sql import functions as F
 EMPTY = "array<struct<start:bigint,end:bigint,hit:string>>"
 
 
-def with_matches(df: DataFrame, out: str, text: str, pattern: str, if_any: Column, keep: Callable[[Column], Column]) -> DataFrame:
+def with_matches(df: DataFrame, out: str, text: str, pattern: str, if_any: Column, keep: Callable[[Column], Column], ahead: int | None = None) -> DataFrame:
     """Add ``out``: leftmost non-overlapping matches as (start, end, hit), in code points.
 
     ``pattern`` must match no empty string, and only texts with ``if_any`` are
     scanned. ``keep`` judges the matched string. Matches and the pieces
     between them come from the same scan rule, so adding up their lengths gives
-    the places.
+    the places. With ``ahead``, the hit is group 1, in a look-ahead, and a match
+    takes in only so many code points: hits may overlap.
     """
     none = F.lit(None)
     m, p = f"_{out}_m", f"_{out}_p"
-    df = df.withColumn(m, F.when(if_any, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none))
+    df = df.withColumn(m, F.when(if_any, F.regexp_extract_all(text, F.lit(pattern), F.lit(0 if ahead is None else 1))).otherwise(none))
     df = df.withColumn(p, F.when(F.size(m) > 0, F.split(F.col(text), pattern, -1)).otherwise(none))
+    taken = lambda x: x["len"] if ahead is None else F.lit(ahead)
     placed = F.aggregate(
         F.zip_with(F.col(m), F.slice(p, F.lit(1), F.size(m)), lambda hit, gap: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("len"), hit.alias("hit"))),
         F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(EMPTY).alias("out")),
         lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["len"]).alias("at"),
+            (acc["at"] + x["gap"] + taken(x)).alias("at"),
             F.when(keep(x["hit"]), F.concat(acc["out"], F.array(F.struct(
                 (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["len"]).alias("end"), x["hit"].alias("hit"))))).otherwise(acc["out"]).alias("out")),
         lambda acc: acc["out"],
