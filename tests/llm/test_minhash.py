@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -12,11 +13,21 @@ from tidemark.llm import minhash
 
 def shingles(text):
     w = re.findall(r"[^\W_]+", (text or "").lower())
-    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    return Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else [])
+
+
+def similarity(x, y):
+    """Probability Jaccard by its definition; where no shingle is repeated, that of sets."""
+    if max([*x.values(), *y.values()]) == 1:
+        shared = len(x.keys() & y.keys())
+        return shared / (len(x) + len(y) - shared)
+    ratios = sorted((y[j] / x[j], x[j], y[j]) for j in x.keys() & y.keys())
+    only_x, only_y = sum(x[j] for j in x.keys() - y.keys()), sum(y[j] for j in y.keys() - x.keys())
+    return sum(x[i] / (only_x + only_y / (y[i] / x[i]) + sum(max(b, c / (y[i] / x[i])) for _, b, c in ratios)) for i in x.keys() & y.keys())
 
 
 def classes(rows, threshold=0.8):
-    """{doc_id: smallest connected doc_id} by comparing all pairs."""
+    """{doc_id: smallest connected doc_id} by comparing all pairs that share a shingle."""
     parent = {d: d for d, _ in rows}
 
     def find(x):
@@ -31,7 +42,7 @@ def classes(rows, threshold=0.8):
     pairs = {p for v in index.values() if len(v) > 1 for p in combinations(v, 2)}
     for i, j in pairs:
         (a, s), (b, t) = sets[i], sets[j]
-        if len(s & t) >= threshold * len(s | t):
+        if find(a) != find(b) and similarity(s, t) >= threshold - 1e-12:
             x, y = sorted((find(a), find(b)))
             parent[y] = x
     return {d: find(d) for d, _ in rows}
@@ -68,30 +79,80 @@ def test_chains_copies_and_odd_rows(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_repeated_shingles_lose_no_link(spark):
+def test_recall_in_each_bin_with_repeated_passages(spark):
+    """Of pairs of similarity 0.8 or more, with one passage repeated up to twelve times, nine of ten are found in each bin."""
     rnd = random.Random(5)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
     rows = []
-    for i in range(20):
-        body, line = " ".join(word() for _ in range(204)), " ".join(word() for _ in range(5))
-        rows += [(4 * i, body), (4 * i + 1, f"{body} {' '.join([line] * 40)}")]
-        rows += [(4 * i + 2, f"{line} {line} {body[::-1]}"), (4 * i + 3, f"{' '.join([line] * 40)} {body[::-1]}")]
-    got = {tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    want = classes(rows)
-    assert got == set(want.items()) and len(set(want.values())) == 40
-
-
-def test_pairs_beside_a_foreign_leader(spark, monkeypatch):
+    for i in range(400):
+        body, passage = [word() for _ in range(rnd.randrange(80, 400))], [word() for _ in range(15)]
+        other = list(body)
+        for _ in range(rnd.randrange(0, len(body) // 40 + 2)):
+            other[rnd.randrange(len(body))] = word()
+        n = rnd.randrange(0, 13)
+        rows += [(2 * i, " ".join(body + passage * n)), (2 * i + 1, " ".join(passage * (n + rnd.randrange(0, 2)) + other))]
+    got = dict(map(tuple, minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    bins = {}
+    for i in range(400):
+        s = similarity(shingles(rows[2 * i][1]), shingles(rows[2 * i + 1][1]))
+        found = got[2 * i] == got[2 * i + 1]
+        assert not found or s >= 0.8 - 1e-12
+        if s >= 0.8:
+            bins.setdefault(min(int(s * 20), 19), []).append(found)
+    assert len(bins) == 4 and all(len(v) > 20 and sum(v) >= 0.9 * len(v) for v in bins.values())
+
+
+def test_repeated_whole_text_is_a_copy(spark):
+    rnd = random.Random(7)
+    text = " ".join(str(rnd.random()) for _ in range(600))
+    docs = spark.createDataFrame([(1, text), (2, f"{text} {text} {text}"), (3, f"{text} " + " ".join(str(rnd.random()) for _ in range(300)))], "doc_id long, text string")
+    assert {tuple(r) for r in minhash.near_duplicates(docs).collect()} == {(1, 1), (2, 1), (3, 3)}
+
+
+def test_large_bucket_and_family_in_blocks(spark, monkeypatch):
+    """One bucket of all rows, cut into many blocks: nothing is lost beside leaders that resemble few."""
     rnd = random.Random(6)
     text = lambda: " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(60))
-    rows = []
-    for i in range(10, 130, 10):  # one bucket for each ten ids; the last member resembles neither other
+    rows, base = [], text().split()
+    for i in range(0, 400, 10):
         near = text()
         rows += [(i, near), (i + 1, near + " end"), (i + 9, text())]
+    for i in range(120):  # members of one family, most of them too far from each other to be links
+        other = list(base)
+        for _ in range(rnd.randrange(0, 3)):
+            other[rnd.randrange(60)] = text().split()[0]
+        rows.append((1000 + i, " ".join(other)))
+    monkeypatch.setattr(minhash, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(minhash, "FAMILY_ROWS", 8)
     signed = minhash.signatures
-    monkeypatch.setattr(minhash, "signatures", lambda docs, text: signed(docs, text).withColumn("bands", F.expr("array(doc_id div 10)")))
+    monkeypatch.setattr(minhash, "signatures", lambda docs, text: signed(docs, text).withColumn("bands", F.expr("array(1L)")))
     got = {tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == set(classes(rows).items())
+    want = classes(rows)
+    assert got == set(want.items()) and 30 < len({c for d, c in want.items() if d >= 1000})
+
+
+def test_prob_jaccard_and_connected():
+    rnd = np.random.default_rng(3)
+    for _ in range(50):
+        x, y = Counter(rnd.integers(0, 30, 40).tolist()), Counter(rnd.integers(0, 30, 60).tolist())
+        e, f = np.array(sorted(x), np.uint64), np.array(sorted(y), np.uint64)
+        got = minhash.prob_jaccard(e, np.array([x[k] for k in sorted(x)]), f, np.array([y[k] for k in sorted(y)]))
+        want = sum(1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in x.keys() | y.keys()) for i in x.keys() & y.keys())
+        assert abs(got - want) < 1e-12
+    near = rnd.random((40, 50)) < 0.02
+    want = classes_of([(int(r), 100 + int(c)) for r, c in zip(*np.nonzero(near))])
+    groups = minhash.connected(near)
+    assert {frozenset([*r, *(100 + c for c in cs)]) for r, cs in groups} == want
+    pairs = minhash.stars(groups, np.arange(40), 100 + np.arange(50))
+    assert len(pairs) < 90 and classes_of(map(tuple, pairs.tolist())) == want
+
+
+def classes_of(links):
+    groups = []
+    for a, b in links:
+        hit = [g for g in groups if a in g or b in g]
+        groups = [g for g in groups if g not in hit] + [set().union({a, b}, *hit)]
+    return {frozenset(g) for g in groups}
 
 
 def test_signatures_estimate_probability_jaccard():

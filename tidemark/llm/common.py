@@ -51,11 +51,41 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: lineage ends there, and lost executors lose nothing."""
+def _write(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: lineage ends there, and lost executors lose nothing."""
+    return _write(df, name)[0]
+
+
+class Scratch:
+    """Tables in the shared folder that are deleted once they are spent, at the latest when the block ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.tables: dict[int, tuple[DataFrame, str]] = {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        table, path = _write(df, name)
+        self.tables[id(table)] = (table, path)
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            _, path = self.tables.pop(id(t))
+            jvm = self.spark.sparkContext._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+    def __exit__(self, *_) -> None:
+        self.drop(*[t for t, _ in self.tables.values()])
 
 
 def words_of(text: Column) -> Column:
