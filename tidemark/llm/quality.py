@@ -98,36 +98,41 @@ def quality_rules(
     other lines as they came, and a null text stays null. A document is depleted when fewer
     than ``min_words`` words, or less than ``min_left`` of its words, remain
     although lines were removed. Rows that repeat a doc_id are documents of
-    their own. Columns of ``docs`` named like an added one are replaced.
+    their own; a text of any length is judged whole. Columns of ``docs`` named like an added one are replaced; other
+    columns pass through, whatever their names.
+
+    Rows meet their frequent lines by 128 bits of host and text, so equal rows have equal fates and no row needs a number.
     """
-    host_key = F.coalesce(F.col(host).cast("string"), F.lit("\u0000"))
-    # The row number comes last: no filter moves below it, where it would evaluate the counts' nested parts again and again.
-    rows = base_counts(docs.withColumn("_host", F.xxhash64(host_key)), text).withColumn("_row", F.monotonically_increasing_id())
+    added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "removed_words", "kept", "clean_text")
+    names = [c for c in docs.columns if c not in added]
+    row = docs.select(F.struct(*names).alias("row"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(host).cast("string"), F.lit("\u0000"))).alias("host"))
+    whole = F.coalesce(F.col("text"), F.lit(""))
+    key = [F.xxhash64(F.lit(k), "host", whole).alias(f"k{k}") for k in (1, 2)]
     hashed = written(
-        docs.select(F.xxhash64(host_key).alias("host"), lines_of(F.coalesce(F.col(text), F.lit(""))).alias("l"))
-        .select("host", F.transform("l", lambda x: F.xxhash64(normal_line(x))).alias("l"))
-        .select("host", F.xxhash64("l").alias("text"), F.array_distinct("l").alias("l")), "line-hashes")
+        row.select("host", *key, lines_of(whole).alias("l"))
+        .select("host", "k1", "k2", F.transform("l", lambda x: F.xxhash64(normal_line(x))).alias("l"))
+        .select("host", "k1", "k2", F.xxhash64("l").alias("text"), F.array_distinct("l").alias("l")), "line-hashes")
     each = hashed.select("host", "text", F.explode("l").alias("line"))
     host_texts = hashed.select("host", "text").distinct().groupBy("host").agg(F.count("*").alias("host_texts"))
     frequent = written(frequent_lines(each, host_texts, min_docs, share), "frequent-lines")
     if frequent.count() <= BROADCAST_ROWS:
         frequent = F.broadcast(frequent)
-    lines = F.transform("_lines", lambda x: F.struct(F.xxhash64(normal_line(x)).alias("line"), F.size(words_of(x)).alias("words")))
-    removed = (
-        rows.select("_row", F.col("_host").alias("host"), F.explode(lines).alias("x"))
-        .select("_row", "host", "x.line", "x.words")
+    gone = (
+        hashed.select("host", "k1", "k2", F.explode("l").alias("line"))
         .join(frequent, ["host", "line"], "left_semi")
-        .groupBy("_row").agg(F.sum("words").alias("_removed"), F.collect_set("line").alias("_gone"))
+        .groupBy("k1", "k2").agg(F.collect_set("line").alias("gone"))
     )
-    others = F.filter(F.split(F.col(text), "\n", -1), lambda x: ~F.array_contains("_gone", F.xxhash64(normal_line(x))))
+    is_gone = lambda x: F.array_contains("gone", F.xxhash64(normal_line(x)))
+    removed = F.aggregate(F.filter("_lines", is_gone), F.lit(0).cast("long"), lambda n, x: n + F.size(words_of(x)))
+    others = F.filter(F.split("text", "\n", -1), lambda x: ~is_gone(x))
     left = F.col("n_words") - F.col("removed_words")
     depleted = (F.col("removed_words") > 0) & ((left < min_words) | (left < min_left * F.col("n_words")))
     return (
-        rows.drop("_lines", "_host").join(removed, "_row", "left")
-        .withColumn("removed_words", F.coalesce("_removed", F.lit(0)).cast("long"))
+        base_counts(row.select("row", "text", *key).join(gone, ["k1", "k2"], "left").drop("k1", "k2"))
+        .withColumn("removed_words", F.when(F.col("gone").isNull(), F.lit(0)).otherwise(removed).cast("long"))
         .withColumn("kept", ~F.col("base_failed") & ~depleted)
-        .withColumn("clean_text", F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(others, "\n")))
-        .drop("_row", "_removed", "_gone")
+        .withColumn("clean_text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(others, "\n")))
+        .select(*[F.col("row")[c].alias(c) for c in names], *added)
     )
 
 
