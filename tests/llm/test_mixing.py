@@ -51,7 +51,7 @@ def brute(rows, a, limit):
 
 
 def keys(docs):
-    return [tuple(r) for r in docs.select("doc_id", mixing._source("source"), mixing.word_count("text"), F.xxhash64(F.lit(7), "doc_id", F.coalesce("text", F.lit("")))).collect()]
+    return [tuple(r) for r in docs.select("doc_id", mixing._source("source"), mixing.token_count("text"), F.xxhash64(F.lit(7), "doc_id", F.coalesce("text", F.lit("")))).collect()]
 
 
 def totals(spark, rows):
@@ -87,7 +87,24 @@ def test_query_and_blocks(spark, sf_dir):
     assert abs(n - tokens / 20_000) <= 2
     sizes = [r.t for r in out.groupBy("mix_block").agg(F.sum("n_tokens").alias("t")).collect()]
     assert len(sizes) == n and max(sizes) < 3 * 20_000
-    assert mixing.op7_mixing(spark, sf_dir).columns == ["doc_id", "source", "n_tokens", "epoch", "mix_block"]
+    assert mixing.op7_mixing(spark, sf_dir).columns == ["doc_id", "source", "n_tokens", "epoch", "mix_block", "mix_place"]
+
+
+def test_budget_and_own_tokens(spark):
+    """A budget below the table's tokens takes part of each source by weight; one above repeats up to the limit."""
+    rows = [(i, "x", "big" if i % 10 else "small", 100 + i % 7) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string, tok int")
+    total = Counter()
+    for r in rows:
+        total[r[2]] += r[3]
+    for budget in (50_000, 300_000):
+        out = mixing.mix_sources(docs, target_entropy=0.8, max_repeat=3.0, budget=budget, tokens="tok", block_tokens=10_000)
+        got = Counter({r.source: r.n for r in out.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()})
+        a = mixing.find_exponent(spark.createDataFrame([(v,) for v in total.values()], "tokens long"), 0.8, 3.0, budget)
+        w = dict(zip(total, weights(list(total.values()), a)))
+        assert all(budget * w[s] - 107 < got[s] <= budget * w[s] + 1e-6 for s in total), (got, w)
+        assert max(got[s] / total[s] for s in total) <= 3.0 + 1e-6
+        assert out.columns == [*docs.columns, "n_tokens", "epoch", "mix_block", "mix_place"]
 
 
 def test_odd_tables(spark):
@@ -96,4 +113,6 @@ def test_odd_tables(spark):
     rows += [(300, None, "big", "x"), (301, "", "none", "x"), (302, None, "none", "x"), (5, "w " * 6, "big", "x"), (400, "same text", "s", "x"), (400, "same text", "s", "x"), (401, "q r", "s", "x")]
     docs = spark.createDataFrame(rows, schema)
     check(spark, docs, mixing.mix_sources(docs).cache())
+    clash = mixing.mix_sources(docs.withColumnRenamed("epoch", "key").withColumn("src", F.lit("mine"))).select("key", "src").distinct().collect()
+    assert {r.src for r in clash} == {"mine"} and {r.key for r in clash} == {"x", None}
     assert mixing.mix_sources(docs.limit(0)).count() == 0

@@ -1,10 +1,11 @@
-"""Cached encoding, token counts and packing against the library."""
+"""Encoding by parts, token counts and packing against the library."""
 
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from tokenizers import Tokenizer
 
@@ -22,12 +23,31 @@ def pair(request):
     return Encoder(request.param), Tokenizer.from_file(tokenizer_path(request.param))
 
 
-def test_cached_ids_equal_the_library(pair):
+def test_ids_and_counts_equal_the_library(pair):
+    """Edge texts, random joins of odd parts, and every character of the basic plane beside its neighbours."""
     ours, lib = pair
     rnd = random.Random(1)
-    parts = ["the", "Über", "don't", "x1", "...", "\n", " ", "  ", "\t", "!", "'s", "É", "it'S", "«", "-", "\n\n", "é", "42"]
-    for text in EDGE + ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 12))) for _ in range(5000)]:
-        assert ours.ids(text).tolist() == lib.encode(text, add_special_tokens=False).ids, repr(text)
+    parts = ["the", "Über", "don't", "x1", "...", "\n", " ", "  ", "\t", "!", "'s", "É", "it'S", "«", "-", "\n\n", "é", "42", "ΟΔΟΣ", "Σ", "İ", "\xa0", "\u2003", "\x1c", "\x85", "\u0301",
+             "<|endoftext|>", "<|", "🙂", "\x00", "ß", "ǅ", "\u200d", "١٢", "𝒳", "\r\n", "\u3000", "\ufeff", "Привет", "नमस्ते", "กขค", "日本語", "'", "’t"]
+    texts = EDGE + ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 14))) for _ in range(10_000)]
+    texts += ["".join(map(chr, range(k, k + 97))) for k in range(0, 0xD700, 97)]
+    for text in texts:
+        want = lib.encode(text, add_special_tokens=False).ids
+        assert ours.ids(text).tolist() == want and ours.count(text) == len(want), repr(text)
+
+
+def test_all_documents_of_the_largest_table_equal_the_library(spark):
+    """Ids of every text at scale factor 0.1 by both vocabularies, compared in tasks."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").repartition(16)
+
+    def wrong(frames):
+        pairs = [(Encoder(n), Tokenizer.from_file(tokenizer_path(n))) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")]
+        for frame in frames:
+            texts = frame["text"].tolist()
+            bad = sum(ours.ids(t).tolist() != e.ids for ours, lib in pairs for t, e in zip(texts, lib.encode_batch_fast(texts, add_special_tokens=False)))
+            yield pd.DataFrame({"bad": [bad], "n": [len(texts)]})
+
+    assert tuple(docs.mapInPandas(wrong, "bad long, n long").selectExpr("sum(bad)", "sum(n)").first()) == (0, 10_000)
 
 
 def test_token_counts(spark, sf_dir):

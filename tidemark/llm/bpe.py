@@ -1,24 +1,30 @@
-"""Token ids by public tokenizers: the library's own for unusual texts, rank tables of the same vocabulary for plain ones."""
+"""Token ids by the tokenizers library, each distinct part of a text worked out once for a worker.
+
+No pre-token of these vocabularies spans a change from other characters to white space, so a text may be cut
+there, and the ids of its parts follow each other. A part that was met before is looked up. A new one goes through
+the library: its normalizer and pre-tokenizer cut it into pre-tokens, its BPE model encodes each. Only for
+printable ASCII, where both come down to lower case and one fixed expression, is the cut made here.
+"""
 
 from __future__ import annotations
 
-import base64
 import functools
-import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
-#: Texts with other characters go to the library whole: their white space, case
-#: or normal form may need its own rules.
-PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ«»„“”‘’…–—]*")
-#: Pieces whose counts one worker keeps.
-CACHE = 100_000
-#: Pre-tokens of the vocabulary with word ends (fixed by its file).
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Marks the end of a word where ranks are looked up; no plain text has it.
-END = "\x00"
+#: White space as the library's expressions have it (fixed: Unicode White_Space).
+WHITE = " \t\n\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Pre-tokens in ASCII, with word ends and byte-level (fixed by the files and the library's pre-tokenizer).
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
+BYTES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+ASCII = re.compile(r"[\t\n\r\x20-\x7e]*").fullmatch
+#: Byte-level vocabularies spell a byte that is not printable as the next free character from 256 on.
+SPELLED = {9: "ĉ", 10: "Ċ", 13: "č", 32: "Ġ"}
+#: Parts that one worker keeps, and the longest.
+CACHE, LONGEST = 200_000, 48
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,101 +33,64 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_chars() -> dict[str, int]:
-    """Byte-level vocabularies spell a byte as itself if printable, else as the next free character from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
-def _ranks_with_word_ends(path: str) -> dict[bytes, int] | None:
-    """Bytes of each token, ``</w>`` as ``END``, with its id; None if ids do not follow the order of merges."""
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
-    vocab, of = model["vocab"], _byte_chars()
-    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-    ids = [vocab[a + b] for a, b in merges]
-    if ids != sorted(ids) or len(set(ids)) != len(ids):
-        return None
-
-    def spelled(token: str) -> bytes:
-        word = token.removesuffix("</w>")
-        return bytes(of[c] for c in word) + (END.encode() if word != token else b"")
-
-    return {spelled(t): i for t, i in vocab.items() if not t.startswith("<|")}
-
-
 class Encoder:
     """Ids of whole texts, equal to ``encode(text, add_special_tokens=False)`` of the library.
 
-    Plain texts are encoded by ranks: merging the pair of lowest rank first
-    gives the same ids when ranks follow the order of merges. Other texts,
-    and those in which a special token may appear, go to the library.
+    ``known`` has token counts of pre-tokens that need not be encoded to be counted.
     """
 
-    def __init__(self, name: str, counts: dict[str, int] | None = None):
-        import regex
-        import tiktoken
+    def __init__(self, name: str, known: dict[str, int] | None = None):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        path = tokenizer_path(name)
-        self.library = Tokenizer.from_file(path)
-        self.word_ends = self.library.normalizer is not None
-        self.split = regex.compile(WORDS).findall
-        if self.word_ends:
-            ranks, pattern = _ranks_with_word_ends(path), rf"(?:{WORDS.replace(r'[^\s', r'[^\x00\s')})\x00"
-        else:
-            import public_tokenizers
-
-            with open(path.removesuffix(".json") + ".tiktoken", "rb") as f:
-                ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-            pattern = public_tokenizers.PATTERN
-        self.fast = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}) if ranks else None
-        self.counts = _Counts(self, counts or {})
+        self.library = Tokenizer.from_file(tokenizer_path(name))
+        self.model, self.normalizer, self.pre_tokenizer = self.library.model, self.library.normalizer, self.library.pre_tokenizer
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        #: A vocabulary that drops white space has parts without it.
+        self.drops = self.normalizer is not None
+        self.parts = re.compile(f"[^{WHITE}]+" if self.drops else f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
+        self.split = re.compile(WORDS if self.drops else BYTES).findall
+        self.of_part, self.of_token = _Cache(self.part_ids), _Cache(lambda p: [t.id for t in self.model.tokenize(p)])
+        self.counts, self.lengths = _Cache(self.part_count), _Cache(lambda p: len(self.model.tokenize(p)), known)
+
+    def pre_tokens(self, part: str) -> list[str]:
+        """Pre-tokens of a part, as the model takes them."""
+        if ASCII(part):
+            return self.split(part.lower()) if self.drops else [p.translate(SPELLED) if p[0] <= " " else p for p in self.split(part)]
+        return [p for p, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(part) if self.drops else part)]
 
     def whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def plain(self, text: str) -> bool:
-        return self.fast is not None and "<|" not in text and PLAIN.fullmatch(text) is not None
+    def part_ids(self, part: str) -> list[int]:
+        if "<" in part and any(s in part for s in self.special):
+            return self.whole(part)
+        return list(chain.from_iterable(map(self.of_token.__getitem__, self.pre_tokens(part))))
 
-    def by_rank(self, text: str) -> list[int]:
-        """Ids of a plain text, in lower case where the vocabulary wants that."""
-        if self.word_ends:
-            text = "".join([w + END for w in self.split(text)])
-        return self.fast.encode_ordinary(text)
+    def part_count(self, part: str) -> int:
+        if "<" in part and any(s in part for s in self.special):
+            return len(self.whole(part))
+        return sum(map(self.lengths.__getitem__, self.pre_tokens(part)))
 
     def ids(self, text: str) -> np.ndarray:
-        if not self.plain(text):
-            return np.array(self.whole(text), dtype="<u4")
-        return np.array(self.by_rank(text.lower() if self.word_ends else text), dtype="<u4")
-
-    def pieces(self, text: str) -> list[str] | None:
-        """Pieces whose counts add up to that of ``text``, or None if it has to be encoded whole.
-
-        They are the parts between white space, for a vocabulary that drops it.
-        """
-        return text.lower().split() if self.word_ends and self.plain(text) else None
+        return np.fromiter(chain.from_iterable(map(self.of_part.__getitem__, self.parts(text))), "<u4")
 
     def count(self, text: str) -> int:
-        pieces = self.pieces(text)
-        return len(self.ids(text)) if pieces is None else sum(map(self.counts.__getitem__, pieces))
+        return sum(map(self.counts.__getitem__, self.parts(text)))
 
 
-class _Counts(dict):
-    """Counts of pieces: those given, then up to ``CACHE`` met by this worker; others are encoded each time."""
+class _Cache(dict):
+    """Values that are known, and those of ``work`` for the first ``CACHE`` short keys; others are worked out each time."""
 
-    def __init__(self, encoder: Encoder, known: dict[str, int]):
-        super().__init__(known)
-        self.encoder, self.room = encoder, CACHE
+    def __init__(self, work, known: dict | None = None):
+        super().__init__(known or {})
+        self.work = work
 
-    def __missing__(self, piece: str) -> int:
-        n = len(self.encoder.by_rank(piece))
-        if self.room > 0:
-            self.room -= 1
-            self[piece] = n
-        return n
+    def __missing__(self, key: str):
+        value = self.work(key)
+        if len(self) < CACHE and len(key) <= LONGEST:
+            self[key] = value
+        return value
 
 
 @functools.lru_cache(maxsize=4)

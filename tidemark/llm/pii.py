@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents
-from tidemark.llm.spans import EMPTY, apart_from, joined, labelled, replaced, with_matches
+from tidemark.llm.spans import apart_from, beside, joined, labelled, replaced, with_matches
 
 # The contract's patterns, with possessive repeats (where no match can give
 # anything back) and look-behinds in place of retries inside a run, so that long runs
@@ -31,14 +31,21 @@ SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 LOCAL_PHONE = r"(?<![0-9+(-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9-])"
 
 BASE = ("email", "ip", "card", "phone")
-#: Kinds that the method adds: score of the bare pattern, score that a passed checksum adds, context words and what they add.
-ADDED = {
-    "iban": (0.3, 0.5, "iban|account|konto|compte|cuenta|bank", 0.2),
-    "ssn": (0.3, 0.0, "ssn|social security|tax id", 0.5),
-    "local_phone": (0.3, 0.0, "phone|call|tel|mobile|cell|fax", 0.4),
+#: Hundredths of a score: of the bare pattern, added by a passed checksum; context words and what they add.
+KINDS = {
+    "email": (80, 0, "e-?mail|mail|contact|write", 20),
+    "ip": (50, 0, "ip|address|server|host|client|login", 30),
+    "card": (40, 30, "card|visa|mastercard|amex|credit|debit|payment", 30),
+    "phone": (50, 0, "phone|call|tel|mobile|cell|fax|contact", 40),
+    "iban": (30, 50, "iban|account|konto|compte|cuenta|bank", 20),
+    "ssn": (30, 0, "ssn|social security|tax id", 50),
+    "local_phone": (30, 0, "phone|call|tel|mobile|cell|fax", 40),
 }
-#: Score from which an added span counts, and code points before it that are its context.
-THRESHOLD, CONTEXT = 0.7, 50
+ADDED = ("iban", "ssn", "local_phone")
+#: Words that speak for another kind of number, and what they take away.
+DOUBTS, DOUBT = "part|order|serial|invoice|version|item|sku|model|example|sample|test", 30
+#: Score from which an added span counts, and code points on either side that are its context.
+THRESHOLD, CONTEXT = 60, 50
 
 
 def digits_of(hit: Column) -> Column:
@@ -81,45 +88,54 @@ def _phone(hit: Column) -> Column:
     return F.length(digits_of(hit)).between(9, 15)
 
 
-def _scored(kind: str, text: str, confirm) -> Column:
-    bare, checked, words, near = ADDED[kind]
-    context = lambda x: F.lower(F.substring(F.col(text), F.greatest(x["start"] - CONTEXT + 1, F.lit(1)).cast("int"), F.least(x["start"], F.lit(CONTEXT)).cast("int")))
-    score = lambda x: (
-        F.lit(bare)
-        + (F.when(confirm(x["hit"]), F.lit(checked)).otherwise(F.lit(-1.0)) if confirm else F.lit(0.0))
-        + F.when(context(x).rlike(rf"\b(?:{words})\b"), F.lit(near)).otherwise(F.lit(0.0)))
-    return F.filter(f"_{kind}", lambda x: score(x) >= THRESHOLD)
+def with_scores(df: DataFrame, kind: str, text: str) -> DataFrame:
+    """Add a score to the spans of ``_<kind>``, by context words in ``text`` near them and the doubts in ``_doubts``."""
+    bare, checked, words, lift = KINDS[kind]
+    spans = f"_{kind}"
+    df = with_matches(df, "_words", text, rf"(?i)\b(?:{words})\b", F.size(spans) > 0)
+    near = lambda r, points: f"if({r}.before >= {r}.span.start - {CONTEXT} or {r}.after <= {r}.span.end + {CONTEXT}, {points}, 0)"
+    scored = f"named_struct('start', m.span.start, 'end', m.span.end, 'score', {bare + checked} + {near('m', lift)} - {near('n', DOUBT)})"
+    return df.withColumn(spans, F.expr(f"zip_with({beside(spans, '_words')}, {beside(spans, '_doubts')}, (m, n) -> {scored})")).drop("_words")
 
 
 def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``base`` and ``spans``: arrays of (kind, start, end) in code points, end exclusive.
+    """Add n_email, n_ip, n_card, n_phone, ``base``, ``spans`` and ``scores``.
 
+    ``base`` and ``spans`` are arrays of (kind, start, end) in code points, end exclusive.
     ``base`` has the contract's four kinds, by kind, then start. ``spans`` adds
-    IBANs (mod-97 must hold), US social security and plain phone numbers (a
-    context word must stand within 50 code points before them) that overlap no
-    base span. Null and empty texts have no spans. All columns of ``docs`` stay,
-    but for those named ``base`` or ``spans``.
+    IBANs (mod-97 must hold), US social security and plain phone numbers whose score reaches ``THRESHOLD`` and
+    that overlap no base span and no added span of a kind before theirs. A score starts at what the pattern and its checksum are
+    worth, rises with a context word within 50 code points before or after the
+    span, and falls with a word that speaks for another kind of number; ``scores`` has that of each of ``spans``, in hundredths.
+    Base spans stay whatever their score. Null and empty texts have no spans; texts of any length are
+    scanned whole. Rows stay as many as they are. All columns of ``docs`` stay, but for those with an added name.
     """
     whole = "_text"
     df = docs.withColumn(whole, F.coalesce(F.col(text), F.lit("")))
-    yes = lambda hit: F.lit(True)
     t = F.col(whole)
-    digits = t.rlike("[0-9]")
-    df = df.withColumn("_digits", digits)
-    df = with_matches(df, "_email", whole, EMAIL, F.contains(t, F.lit("@")), yes)
+    df = df.withColumn("_digits", t.rlike("[0-9]"))
+    df = with_matches(df, "_email", whole, EMAIL, F.contains(t, F.lit("@")))
     df = with_matches(df, "_ip", whole, IP, F.col("_digits") & t.rlike(r"[0-9]\.[0-9]+\.[0-9]"), _ip_parts)
     df = with_matches(df, "_card", whole, CARD, F.col("_digits"), _card)
     df = with_matches(df, "_phone", whole, PHONE, F.col("_digits") & F.contains(t, F.lit("+")), _phone)
     df = with_matches(df, "_iban", whole, IBAN, F.col("_digits"), mod97, ahead=4)
-    df = with_matches(df, "_ssn", whole, SSN, F.col("_digits") & F.contains(t, F.lit("-")), yes)
-    df = with_matches(df, "_local_phone", whole, LOCAL_PHONE, F.col("_digits"), yes)
-    df = df.withColumn("_all", F.concat(*[f"_{k}" for k in BASE]))
-    df = df.withColumn("base", F.concat(*[labelled(F.col(f"_{k}"), k) for k in BASE]))
-    added = [labelled(apart_from(_scored(k, whole, mod97 if k == "iban" else None), F.col("_all")), k) for k in ADDED]
-    df = df.withColumn("spans", F.concat("base", *added))
-    for k in BASE:
-        df = df.withColumn(f"n_{k}", F.size(f"_{k}").cast("long"))
-    return df.drop(whole, "_digits", "_all", *[f"_{k}" for k in (*BASE, *ADDED)])
+    df = with_matches(df, "_ssn", whole, SSN, F.col("_digits") & F.contains(t, F.lit("-")))
+    df = with_matches(df, "_local_phone", whole, LOCAL_PHONE, F.col("_digits"))
+    df = with_matches(df, "_doubts", whole, rf"(?i)\b(?:{DOUBTS})\b", F.expr(" or ".join(f"size(_{k}) > 0" for k in KINDS)))
+    for k in KINDS:
+        df = with_scores(df, k, whole)
+    place = lambda k: f"transform(_{k}, x -> named_struct('start', x.start, 'end', x.end))"
+    taken = [place(k) for k in BASE]
+    for k in ADDED:
+        df = df.withColumn("_taken", F.expr(f"concat({', '.join(taken)})")).withColumn(f"_{k}", F.expr(f"filter(_{k}, x -> x.score >= {THRESHOLD})"))
+        df = df.withColumn(f"_{k}", apart_from(f"_{k}", "_taken"))
+        taken = ["_taken", place(k)]
+    return df.withColumns({
+        "base": F.expr(f"concat({', '.join(labelled(f'_{k}', k) for k in BASE)})"),
+        "spans": F.expr(f"concat({', '.join(labelled(f'_{k}', k) for k in KINDS)})"),
+        "scores": F.expr(f"concat({', '.join(f'transform(_{k}, x -> x.score)' for k in KINDS)})"),
+        **{f"n_{k}": F.size(f"_{k}").cast("long") for k in BASE},
+    }).drop(whole, "_digits", "_doubts", "_taken", *[f"_{k}" for k in KINDS])
 
 
 def masked(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -127,7 +143,7 @@ def masked(docs: DataFrame, text: str = "text") -> DataFrame:
     columns = docs.columns
     return (
         personal_data(docs.select([F.col(c).alias(f"in_{i}") for i, c in enumerate(columns)]), f"in_{columns.index(text)}")
-        .withColumn(f"in_{columns.index(text)}", replaced(F.col(f"in_{columns.index(text)}"), F.col("spans"), lambda k: F.concat(F.lit("["), F.upper(k), F.lit("]"))))
+        .withColumn(f"in_{columns.index(text)}", replaced(f"in_{columns.index(text)}", "spans", "concat('[', upper(kind), ']')"))
         .select([F.col(f"in_{i}").alias(c) for i, c in enumerate(columns)])
     )
 
@@ -136,4 +152,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select(
         "doc_id", *[f"n_{k}" for k in BASE],
-        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+        F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"), F.array_join("scores", ",").alias("scores"))

@@ -7,25 +7,25 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents
+from tidemark.llm.common import documents, written
 from tidemark.llm.spans import apart_from, joined, with_matches
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9+/_.=-]++)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
-#: Strings that the models judge: a run of at least 20 with a letter and a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
+#: Strings that the models judge.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}+={0,2}"
 BASE = ("assign", "access", "hex")
 
 #: Characters of the models; any other counts as one more.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-=."
 SIZE = len(ALPHABET) + 1
-#: Labelled rows to learn from: at most so many documents with and without a base span.
-SAMPLE_DOCS = 2_000
+#: Labelled rows to learn from: at most so many documents with and without a base span, picked by hash from about so many.
+SAMPLE_DOCS, SAMPLE_ROWS = 2_000, 100_000
 #: Weight of single characters' shares against a row's own transitions.
 BACK_OFF = 5.0
-#: Mean log-likelihood ratio of a transition from which a string counts as random.
-THRESHOLD = 0.5
+#: Log-likelihood ratio from which a string counts as random: the mean of its transitions, and their sum, which asks more of short strings.
+THRESHOLD, EVIDENCE = 0.5, 15.0
 
 
 def _texts(docs: DataFrame, text: str) -> DataFrame:
@@ -36,34 +36,30 @@ def with_base_spans(df: DataFrame) -> DataFrame:
     """Add _assign, _access and _hex for ``_text``."""
     t = F.col("_text")
     long_enough = lambda hit: F.length(F.regexp_extract(hit, ASSIGN, 2)) >= 6
-    yes = lambda hit: F.lit(True)
     df = with_matches(df, "_assign", "_text", ASSIGN, t.rlike(r"[:=]") & t.rlike("(?i)passw|secret|token|api_?key"), long_enough)
-    df = with_matches(df, "_access", "_text", ACCESS, F.contains(t, F.lit("AKIA")), yes)
-    return with_matches(df, "_hex", "_text", HEX, t.rlike("[0-9a-f]{24}"), yes)
+    df = with_matches(df, "_access", "_text", ACCESS, F.contains(t, F.lit("AKIA")))
+    return with_matches(df, "_hex", "_text", HEX, t.rlike("[0-9a-f]{24}"))
 
 
-def labelled_samples(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def labelled_samples(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(label, value): 1 for values that base patterns find, 0 for words of eight or more characters of other texts.
 
-    Both come from the distinct texts with the smallest hashes, at most ``sample_docs``
-    of each kind; that bound holds at every size and only the models depend on it.
+    One pass takes the texts whose hash is below what about ``sample_rows`` of all rows have, and of those
+    without a base span what about twice ``sample_docs`` have; at most ``sample_docs`` texts of each kind,
+    those with the smallest hashes, are used. The bounds hold at every size and only the models depend on them.
     """
-    df = _texts(docs, text).select("_text", F.xxhash64("_text").alias("_order"))
+    n = max(docs.count(), 1)
+    below = lambda rows: F.col("_order") <= F.lit(min(2**63 - 1, -(2**63) + int(min(1.0, rows / n) * 2**64))).cast("long")
     marked = r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
-
-    def some(want: bool) -> DataFrame:
-        rows = df.filter(F.col("_text").rlike(marked) == want)
-        # Only hashes are sorted; the texts up to the last of them are read again.
-        last = rows.select("_order").distinct().orderBy("_order").limit(sample_docs).agg(F.max("_order")).first()[0]
-        return rows.filter(F.col("_order") <= F.lit(last).cast("long")).dropDuplicates(["_order"])
-
-    found = with_base_spans(some(True))
+    rows = _texts(docs, text).select("_text", F.xxhash64("_text").alias("_order")).filter(below(sample_rows))
+    rows = rows.withColumn("label", F.col("_text").rlike(marked).cast("int")).filter((F.col("label") == 1) | below(2 * sample_docs))
     values = F.concat(
         F.transform("_assign", lambda x: F.regexp_extract(x["hit"], ASSIGN, 2)),
         F.transform("_access", lambda x: x["hit"]), F.transform("_hex", lambda x: x["hit"]))
     words = F.regexp_extract_all("_text", F.lit(r"[A-Za-z_][A-Za-z0-9_/.-]{7,}"), F.lit(0))
-    return found.select(F.lit(1).alias("label"), F.explode(values).alias("value")).unionAll(
-        some(False).select(F.lit(0).alias("label"), F.explode(words).alias("value")))
+    found = written(with_base_spans(rows).select("label", "_order", F.when(F.col("label") == 1, values).otherwise(words).alias("values")).dropDuplicates(["_order"]), "samples")
+    some = lambda label: found.filter(F.col("label") == label).orderBy("_order").limit(sample_docs).select("label", F.explode("values").alias("value"))
+    return some(1).unionAll(some(0))
 
 
 def _index(char: Column) -> Column:
@@ -111,31 +107,33 @@ def _ranked(kind: str, rank: int) -> Column:
     return F.transform(f"_{kind}", lambda x: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), x["end"].alias("end")))
 
 
-def scan_secrets(docs: DataFrame, model: list[float], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def scan_secrets(docs: DataFrame, model: list[float], text: str = "text", threshold: float = THRESHOLD, evidence: float = EVIDENCE) -> DataFrame:
     """Add n_assign, n_access, n_hex, ``base`` and ``spans``.
 
     ``base`` and ``spans`` are arrays of (kind, start, end) by start, then kind
-    as listed; ``spans`` adds kind ``random``: strings that overlap no base span
-    and whose mean log-likelihood ratio exceeds ``threshold``. Null and empty
-    texts have none. Columns of ``docs`` with these names are replaced.
+    as listed; ``spans`` adds kind ``random``: strings of 12 or more characters that overlap no base span
+    and whose transitions have a log-likelihood ratio above ``threshold`` in the mean and of ``evidence`` or more in all. Null and empty
+    texts have none; a text of any length is scanned whole; every row stands for itself. Columns of ``docs`` with these names are replaced.
     """
     df = with_base_spans(_texts(docs, text))
-    t = F.col("_text")
-    mixed = lambda hit: hit.rlike("[0-9]") & hit.rlike("[A-Za-z]")
-    df = with_matches(df, "_candidates", "_text", CANDIDATE, t.rlike("[0-9]") & t.rlike("[A-Za-z0-9+/_-]{20}"), mixed)
-    df = df.withColumn("_apart", apart_from(F.col("_candidates"), F.concat(*[f"_{k}" for k in BASE])))
-    df = df.withColumn("_random", F.filter("_apart", lambda x: likelihood_ratio(x["hit"], model) > threshold))
+    df = with_matches(df, "_candidates", "_text", CANDIDATE, F.col("_text").rlike("[A-Za-z0-9+/_-]{12}"), lambda hit: looks_random(hit, model, threshold, evidence))
+    df = df.withColumn("_base", F.concat(*[f"_{k}" for k in BASE])).withColumn("_random", apart_from("_candidates", "_base"))
     ranked = lambda names: F.transform(
         F.sort_array(F.concat(*[_ranked(k, i) for i, k in enumerate(names)])),
         lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
     df = df.withColumn("base", ranked(BASE)).withColumn("spans", ranked((*BASE, "random")))
     for k in BASE:
         df = df.withColumn(f"n_{k}", F.size(f"_{k}").cast("long"))
-    return df.drop("_text", "_candidates", "_apart", "_random", *[f"_{k}" for k in BASE])
+    return df.drop("_text", "_candidates", "_base", "_random", *[f"_{k}" for k in BASE])
+
+
+def looks_random(value: Column, model: list[float], threshold: float = THRESHOLD, evidence: float = EVIDENCE) -> Column:
+    """Whether both bounds are passed; digits alone are a number, not a string."""
+    return value.rlike("[A-Za-z]") & (likelihood_ratio(value, model) > F.greatest(F.lit(threshold), F.lit(evidence) / F.greatest(F.length(value) - 1, F.lit(1))))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = scan_secrets(docs, train(labelled_samples(docs)))
     return found.select(
-        "doc_id", *[f"n_{k}" for k in BASE], F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+        "doc_id", *[f"n_{k}" for k in BASE], F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
