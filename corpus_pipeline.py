@@ -13,9 +13,19 @@ from tidemark.llm import minhash, mixing, packing, pii, quality
 from tidemark.llm.common import documents, written
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """doc_id, text and source, and the whole row as ``_row``: so no other column clashes with those that an operator adds."""
+    return docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_row"))
+
+
+def _rows(df: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """The columns of ``docs`` again, with ``text`` as their text."""
+    return df.select(*[F.col(text).alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go, and from the others the lines that too many texts of a host share; n_chars stays as dealt."""
-    return quality.quality_rules(docs).filter("kept").withColumn("text", F.col("clean_text")).select(docs.columns)
+    return _rows(quality.quality_rules(_apart(docs)).filter("kept"), docs, "clean_text")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +39,9 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Small sources are repeated until weights are even enough, at most twice; every document appears."""
-    return mixing.mix_sources(docs).select(docs.columns)
+    """Small sources are repeated until weights are even enough, at most twice; every document appears, in the order of the mixture's blocks."""
+    mixed = mixing.mix_sources(_apart(docs))
+    return _rows(mixed.repartitionByRange("mix_block").sortWithinPartitions("mix_block", "mix_place"), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
