@@ -1,4 +1,4 @@
-"""Windowed metrics over event logs. Quantiles are of the raw durations, not of histogram buckets."""
+"""Windowed metrics over event logs. Quantiles come from histogram buckets, whose counts add up over windows and tasks."""
 
 from __future__ import annotations
 
@@ -15,10 +15,36 @@ def window_rate(rows: DataFrame, ts: str, minutes: int, by: list[str], amount: C
     return rows.groupBy(F.window(ts, f"{minutes} minutes").alias("w"), *by).agg((total / (minutes * 60)).alias("rate")).select(F.col("w.start").alias("window_start"), *by, "rate")
 
 
-def window_quantiles(rows: DataFrame, ts: str, value: str, width: str, slide: str, by: list[str], q: float, exact: bool = True) -> DataFrame:
-    """A quantile in sliding windows; ``exact=False`` for streams."""
-    quantile = F.expr(f"percentile_cont({q}) within group (order by {value})") if exact else F.percentile_approx(value, q)
-    return rows.groupBy(F.window(ts, width, slide).alias("w"), *by).agg(quantile.alias("quantile")).select(F.col("w.start").alias("window_start"), *by, "quantile")
+def bucket_counts(rows: DataFrame, value: str, by: list[str], buckets: tuple[float, ...] = DURATION_BUCKETS) -> DataFrame:
+    """``by`` and ``counts``: how many values are at most each of ``buckets``, and last how many there are. One row of fixed size for each group."""
+    counts = [F.count_if(F.col(value) <= b) for b in buckets] + [F.count(value)]
+    return rows.groupBy(*by).agg(F.array(*counts).alias("counts"))
+
+
+def histogram_quantile(counts: Column, q: float, buckets: tuple[float, ...] = DURATION_BUCKETS) -> Column:
+    """A quantile by linear interpolation inside the bucket that holds its rank; values beyond the last bound count as that bound."""
+    def at(k: int) -> Column:
+        low, high = (buckets[k - 1] if k else 0.0), buckets[k]
+        before = F.get(counts, k - 1) if k else F.lit(0)
+        return F.lit(low) + (high - low) * (rank - before) / (F.get(counts, k) - before)
+
+    rank = F.get(counts, len(buckets)) * q
+    found = F.when(F.get(counts, len(buckets)) == 0, F.lit(None).cast("double"))
+    for k in range(len(buckets)):
+        found = found.when(F.get(counts, k) >= rank, at(k))
+    return found.otherwise(F.lit(buckets[-1]))
+
+
+def window_quantiles(rows: DataFrame, ts: str, value: str, width: int, by: list[str], q: float, slide: int = 1) -> DataFrame:
+    """A quantile in windows of ``width`` minutes that begin every ``slide`` minutes.
+
+    Rows are counted in slides first; only these counts, of fixed size, go into the ``width / slide`` windows that overlap them.
+    """
+    one = bucket_counts(rows.withColumn("_at", F.window(ts, f"{slide} minutes")["start"]), value, ["_at", *by])
+    starts = F.transform(F.sequence(F.lit(0), F.lit(width // slide - 1)), lambda k: F.col("_at") - F.make_dt_interval(mins=k * slide))
+    many = one.select(F.explode(starts).alias("window_start"), *by, "counts").groupBy("window_start", *by).agg(
+        F.array(*[F.sum(F.get("counts", i)) for i in range(len(DURATION_BUCKETS) + 1)]).alias("counts"))
+    return many.select("window_start", *by, histogram_quantile(F.col("counts"), q).alias("quantile"))
 
 
 def window_ratio(rows: DataFrame, ts: str, minutes: int, hit: Column, by: list[str] = ()) -> DataFrame:
@@ -37,19 +63,18 @@ def alert_hold(windows: DataFrame, by: list[str], firing: Column, hold: int, min
 
 def duration_histogram(rows: DataFrame, value: str, by: list[str], buckets: tuple[float, ...] = DURATION_BUCKETS) -> DataFrame:
     """Cumulative counts for each upper bound, the last one unbounded (null); one pass."""
-    counts = [F.count_if(F.col(value) <= b).alias(f"_b{i}") for i, b in enumerate(buckets)]
-    one = rows.groupBy(*by).agg(*counts, F.count("*").alias("_all"))
-    pairs = [F.struct(F.lit(b).alias("le"), F.col(f"_b{i}").alias("n")) for i, b in enumerate(buckets)]
-    pairs.append(F.struct(F.lit(None).cast("double").alias("le"), F.col("_all").alias("n")))
-    return one.select(*by, F.explode(F.array(*pairs)).alias("x")).select(*by, "x.le", "x.n")
+    le = F.array(*[F.lit(b) for b in buckets], F.lit(None).cast("double"))
+    return bucket_counts(rows, value, by, buckets).select(*by, F.explode(F.arrays_zip(le.alias("le"), F.col("counts").alias("n"))).alias("x")).select(*by, "x.le", "x.n")
 
 
 def zero_fill(series: DataFrame, labels: DataFrame, key: str, value: str, minutes: int) -> DataFrame:
     """The series for every label of ``labels`` and every window between the first and the last, 0 where there is none.
 
-    Labels are a known domain of a few rows; windows come from a sequence.
+    First and last window are two values that reach the driver; each label then makes its windows by itself.
     """
-    span = series.agg(F.min("window_start").alias("a"), F.max("window_start").alias("b"))
-    windows = span.select(F.explode(F.sequence("a", "b", F.make_dt_interval(mins=F.lit(minutes)))).alias("window_start"))
-    grid = labels.select(F.collect_set(key).alias("_k")).join(windows).select("window_start", F.explode("_k").alias(key))
-    return grid.join(series, ["window_start", key], "left").withColumn(value, F.coalesce(value, F.lit(0)))
+    a, b = series.agg(F.min("window_start"), F.max("window_start")).first()
+    if a is None:
+        return series
+    windows = F.sequence(F.lit(a).cast("timestamp_ntz"), F.lit(b).cast("timestamp_ntz"), F.make_dt_interval(mins=F.lit(minutes)))
+    grid = labels.select(key).distinct().withColumn("window_start", F.explode(windows))
+    return grid.join(series, ["window_start", key], "left").select("window_start", key, F.coalesce(value, F.lit(0)).alias(value))

@@ -240,16 +240,40 @@ def _outcome(spark, sf_dir):
         scd2.outcome(scd2.scd2_plan(*_sales(spark, sf_dir), SALE_KEYS, SALE_VALUES), "sales")).unionAll(rooms)
 
 
-@query("sync_outcome", f"{OUTCOME}, o as ({TOTALS}) select cast(sum(created + updated) as bigint) as rows_written, cast(sum(created + updated + case when table_name = 'availability' then 0 else closed end) as bigint) as rows_read from o")
+# The snapshot's dimensions: all but the customers of one segment, and classes, rooms, stages and tours as they come.
+UPSERTS = {"objects": "customer where c_mktsegment <> 'MACHINERY'", "stages": "nation", "classes": "part", "rooms": "supplier", "tours": "orders where o_totalprice >= 50000"}
+GONE = {"objects": "customer where c_mktsegment = 'MACHINERY'", "tours": "orders where o_totalprice < 50000"}
+UPSERTED = " union all ".join(f"select '{k}_upserted' as label, count(*) as n from {v}" for k, v in UPSERTS.items())
+DEACTIVATED = " + ".join(f"(select count(*) from {v})" for v in GONE.values())
+LABELS = f"{UPSERTED} union all select table_name || '_created', created from o union all select table_name || '_updated', updated from o union all select table_name || '_closed', closed from o"
+
+
+def _labels(spark, sf_dir):
+    """label and n of all tables; objects and tours that the snapshot lacks are deactivated."""
+    rows = lambda v: table(spark, sf_dir, v.split()[0]).filter(v.partition(" where ")[2] or "true")
+    out = _outcome(spark, sf_dir).unpivot("table_name", ["created", "updated", "closed"], "action", "n").select(F.concat_ws("_", "table_name", "action").alias("label"), "n")
+    for k, v in UPSERTS.items():
+        out = out.unionAll(rows(v).agg(F.count("*").alias("n")).select(F.lit(f"{k}_upserted").alias("label"), "n"))
+    gone = {"objects": ("customer", "c_custkey"), "tours": ("orders", "o_orderkey")}
+    for k, (name, key) in gone.items():
+        whole = table(spark, sf_dir, name).select(F.lit("1").alias("provider"), F.col(key).alias("key"), F.lit(True).alias("is_active"), ts(OLD).alias("updated_at"))
+        off = scd1.deactivate_missing(whole, rows(UPSERTS[k]).select(F.col(key).alias("key")), ["key"], "1", ts(NOW))
+        out = out.unionAll(off.agg(F.count_if("deactivated").alias("n")).select(F.lit("deactivated").alias("label"), "n"))
+    return out
+
+
+@query("sync_outcome", f"""{OUTCOME}, o as ({TOTALS}), l as ({LABELS}) select cast(sum(n) filter (label not like '%_closed') as bigint) as rows_written,
+    cast(sum(n) filter (label <> 'availability_closed') as bigint) + {DEACTIVATED} as rows_read from l""")
 def sync_outcome(spark, sf_dir):
-    """Rows written are created and updated; rows read add the closed, but for availability."""
-    counted = F.when(F.col("table_name") == "availability", 0).otherwise(F.col("closed"))
-    return _outcome(spark, sf_dir).agg(F.sum(F.col("created") + F.col("updated")).alias("rows_written"), F.sum(F.col("created") + F.col("updated") + counted).alias("rows_read"))
+    """Rows written are upserts, created and updated; rows read add closed prices and sales, and what was deactivated."""
+    over = lambda keep: F.sum(F.when(keep, F.col("n")))
+    closed = F.col("label").endswith("_closed")
+    return _labels(spark, sf_dir).agg(over(~closed & (F.col("label") != "deactivated")).alias("rows_written"), over(F.col("label") != "availability_closed").alias("rows_read"))
 
 
-@query("write_metrics", f"{OUTCOME}, o as ({TOTALS}) select table_name || '_created' as label, created as n from o union all select table_name || '_updated', updated from o union all select table_name || '_closed', closed from o")
+@query("write_metrics", f"{OUTCOME}, o as ({TOTALS}) {LABELS} union all select 'deactivated', {DEACTIVATED}")
 def write_metrics(spark, sf_dir):
-    return _outcome(spark, sf_dir).unpivot("table_name", ["created", "updated", "closed"], "action", "n").select(F.concat_ws("_", "table_name", "action").alias("label"), "n")
+    return _labels(spark, sf_dir).groupBy("label").agg(F.sum("n").alias("n"))
 
 
 # Each provider keeps its own history; here a return flag is a provider.
@@ -267,7 +291,7 @@ def multi_provider(spark, sf_dir):
 
 # Snapshots of a supplier's prices by ship year: many at once.
 SNAP = """select cast(l_suppkey as string) as cruise_id, l_linestatus as class_id, date_trunc('year', l_shipdate) as observed_at, cast(floor(max(l_quantity) / 10) as bigint) as level
-    from lineitem where l_quantity > 35 and l_returnflag = 'R' group by l_suppkey, l_linestatus, date_trunc('year', l_shipdate)"""
+    from lineitem group by l_suppkey, l_linestatus, date_trunc('year', l_shipdate)"""
 
 
 @query("history_rebuild", f"""with s as ({SNAP}), t as (select observed_at, lead(observed_at) over (order by observed_at) as next_at from (select distinct observed_at from s)),
@@ -278,8 +302,7 @@ def history_rebuild(spark, sf_dir):
     from pyspark.sql import Window
 
     snapshots = (
-        table(spark, sf_dir, "lineitem").filter("l_quantity > 35 and l_returnflag = 'R'")
-        .groupBy(F.col("l_suppkey").cast("string").alias("cruise_id"), F.col("l_linestatus").alias("class_id"), F.date_trunc("year", "l_shipdate").cast("timestamp_ntz").alias("observed_at"))
+        table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("cruise_id"), F.col("l_linestatus").alias("class_id"), F.date_trunc("year", "l_shipdate").cast("timestamp_ntz").alias("observed_at"))
         .agg(F.floor(F.max("l_quantity") / 10).cast("long").alias("level")))
     times = snapshots.select("observed_at").distinct().withColumn("next_at", F.lead("observed_at").over(Window.orderBy("observed_at")))  # one row for each snapshot
     out = scd2.scd2_rebuild(snapshots, ["cruise_id", "class_id"], ["level"], times)

@@ -31,7 +31,10 @@ def claim_batch(spark, sf_dir):
     return _claimed(spark, sf_dir).select("id", "occurred_at", "stage", "severity", "message", "notification_attempts")
 
 
-GROUPS = f"select stage, severity, message as prefix, count(*) as n, min(occurred_at) as first_seen, max(occurred_at) as last_seen, arg_max(message, (occurred_at, -id)) as message from ({CLAIMED}) group by stage, severity, message"
+#: The message's first 80 bytes: one byte, then letters of two bytes, then others of one; a letter that would be cut is left out.
+TWO = "(length(message) - length(replace(message, 'é', '')))"
+PREFIX = f"left(message, cast(case when {TWO} >= 40 then 40 else 80 - {TWO} end as int))"
+GROUPS = f"select stage, severity, {PREFIX} as prefix, count(*) as n, min(occurred_at) as first_seen, max(occurred_at) as last_seen, arg_max(message, (occurred_at, -id)) as message from ({CLAIMED}) group by stage, severity, {PREFIX}"
 
 
 @query("error_digest", with_roles("errors", GROUPS))
@@ -160,9 +163,22 @@ def rate_by_table(spark, sf_dir):
     return metrics.window_rate(_metrics(spark, sf_dir), "ts", 5, ["phase"], F.col("duration"))
 
 
-@query("error_rate", with_roles("metrics", f"select {BIN5} as window_start, provider, count(*) / 300 as rate from metrics where status = 'failed' group by 1, 2"))
+GRID5 = f"""select unnest(generate_series(a, b, interval 5 minutes)) as window_start, provider from (select min({BIN5}) as a, max({BIN5}) as b from metrics where status = 'failed'), (select distinct provider from metrics)"""
+
+
+@query("error_rate", with_roles("metrics", f"""select g.window_start, g.provider, coalesce(s.rate, 0) as rate, coalesce(s.rate, 0) > 0.003 as firing from ({GRID5}) g
+    left join (select {BIN5} as window_start, provider, count(*) / 300 as rate from metrics where status = 'failed' group by 1, 2) s on s.window_start = g.window_start and s.provider = g.provider"""))
 def error_rate(spark, sf_dir):
-    return metrics.window_rate(_metrics(spark, sf_dir).filter("status = 'failed'"), "ts", 5, ["provider"])
+    """Errors a second, zero in silent windows, and whether they pass the alert's threshold (here 0.003, for a thin log)."""
+    m = _metrics(spark, sf_dir)
+    rates = metrics.window_rate(m.filter("status = 'failed'"), "ts", 5, ["provider"])
+    return metrics.zero_fill(rates, m, "provider", "rate", 5).withColumn("firing", F.col("rate") > 0.003)
+
+
+@query("request_increase", with_roles("metrics", "select time_bucket(interval 1 hour, ts) as window_start, status, count(*) as n from metrics group by 1, 2"))
+def request_increase(spark, sf_dir):
+    """Requests of an hour by status."""
+    return _metrics(spark, sf_dir).groupBy(F.window("ts", "1 hour").alias("w"), "status").agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), "status", "n")
 
 
 @query("request_rate", with_roles("metrics", f"select {BIN5} as window_start, phase, status, count(*) / 300 as rate from metrics group by 1, 2, 3"))
@@ -170,9 +186,23 @@ def request_rate(spark, sf_dir):
     return metrics.window_rate(_metrics(spark, sf_dir), "ts", 5, ["phase", "status"])
 
 
-@query("phase_p95", with_roles("metrics", """select time_bucket(interval 1 minute, ts) - to_minutes(k) as window_start, phase, quantile_cont(duration, 0.95) as quantile from metrics, (select unnest(range(10)) as k) group by 1, 2"""))
+LE = metrics.DURATION_BUCKETS
+
+
+def _quantile_sql(q, c="c"):
+    """Interpolation inside the bucket that holds the rank; ``c0`` to ``c15`` are cumulative counts."""
+    rank, n = f"({c}{len(LE)} * {q})", len(LE)
+    part = lambda k: f"{LE[k - 1] if k else 0.0}::double + {LE[k] - (LE[k - 1] if k else 0.0)!r}::double * ({rank} - {f'{c}{k - 1}' if k else 0}) / ({c}{k} - {f'{c}{k - 1}' if k else 0})"
+    return "round(case " + f"when {c}{n} = 0 then null " + " ".join(f"when {c}{k} >= {rank} then {part(k)}" for k in range(n)) + f" else {LE[-1]} end, 6)"
+
+
+COUNTS = ", ".join([f"count(*) filter (duration <= {b}) as c{k}" for k, b in enumerate(LE)] + [f"count(duration) as c{len(LE)}"])
+
+
+@query("phase_p95", with_roles("metrics", f"""select window_start, phase, {_quantile_sql(0.95)} as quantile from (
+    select time_bucket(interval 1 minute, ts) - to_minutes(k) as window_start, phase, {COUNTS} from metrics, (select unnest(range(10)) as k) group by 1, 2)"""))
 def phase_p95(spark, sf_dir):
-    return metrics.window_quantiles(_metrics(spark, sf_dir), "ts", "duration", "10 minutes", "1 minute", ["phase"], 0.95)
+    return metrics.window_quantiles(_metrics(spark, sf_dir), "ts", "duration", 10, ["phase"], 0.95).withColumn("quantile", F.round("quantile", 6))
 
 
 @query("phase_avg", with_roles("metrics", "select time_bucket(interval 1 hour, ts) as window_start, phase, avg(duration) as mean from metrics group by 1, 2"))
@@ -186,20 +216,23 @@ def success_age(spark, sf_dir):
     return _metrics(spark, sf_dir).filter("status = 'success'").groupBy("provider").agg(age.alias("age")).withColumn("firing", F.col("age") > 7200)
 
 
-@query("cycles_by_status", with_roles("metrics", "select provider, count(*) filter (status = 'success') as success, count(*) filter (status = 'skipped') as skipped, count(*) filter (status = 'failed') as failed from metrics group by provider"))
+@query("cycles_by_status", with_roles("metrics", """select provider, count(*) filter (status = 'success') as success, count(*) filter (status = 'skipped') as skipped, count(*) filter (status = 'failed') as failed,
+    cast(count(*) filter (phase = 'signup') as bigint) as deactivated, cast(coalesce(sum(cast(floor(100 * duration) as bigint)) filter (phase = 'view'), 0) as bigint) as fetched_bytes from metrics group by provider"""))
 def cycles_by_status(spark, sf_dir):
-    return _metrics(spark, sf_dir).groupBy("provider").agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("success", "skipped", "failed")])
+    """Cycles by status with the totals of two counters, here made of the log's phases."""
+    totals = [F.count_if(F.col("phase") == "signup").alias("deactivated"), F.coalesce(F.sum(F.when(F.col("phase") == "view", F.floor(100 * F.col("duration")))), F.lit(0)).cast("long").alias("fetched_bytes")]
+    return _metrics(spark, sf_dir).groupBy("provider").agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("success", "skipped", "failed")], *totals)
 
 
-@query("latency_quantiles", with_roles("metrics", "select phase, quantile_cont(duration, 0.5) as p50, quantile_cont(duration, 0.95) as p95, quantile_cont(duration, 0.99) as p99 from metrics group by phase"))
+@query("latency_quantiles", with_roles("metrics", f"select phase, {', '.join(f'{_quantile_sql(q)} as {n}' for q, n in ((0.5, 'p50'), (0.95, 'p95'), (0.99, 'p99')))} from (select phase, {COUNTS} from metrics group by phase)"))
 def latency_quantiles(spark, sf_dir):
-    q = F.percentile("duration", [0.5, 0.95, 0.99])
-    return _metrics(spark, sf_dir).groupBy("phase").agg(q.alias("q")).select("phase", *[F.col("q")[i].alias(n) for i, n in enumerate(("p50", "p95", "p99"))])
+    counts = metrics.bucket_counts(_metrics(spark, sf_dir), "duration", ["phase"])
+    return counts.select("phase", *[F.round(metrics.histogram_quantile(F.col("counts"), q), 6).alias(n) for q, n in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))])
 
 
-@query("error_ratio", with_roles("metrics", f"select {BIN5} as window_start, count(*) filter (status = 'failed') / count(*) as ratio from metrics group by 1"))
+@query("error_ratio", with_roles("metrics", f"select *, ratio > 0.01 as firing from (select {BIN5} as window_start, count(*) filter (status = 'failed') / count(*) as ratio from metrics group by 1)"))
 def error_ratio(spark, sf_dir):
-    return metrics.window_ratio(_metrics(spark, sf_dir), "ts", 5, F.col("status") == "failed")
+    return metrics.window_ratio(_metrics(spark, sf_dir), "ts", 5, F.col("status") == "failed").withColumn("firing", F.col("ratio") > 0.01)
 
 
 HOURLY = "select time_bucket(interval 1 hour, ts) as window_start, provider, count(*) filter (status = 'failed') / count(*) as ratio from metrics group by 1, 2"
@@ -217,9 +250,9 @@ def duration_histogram(spark, sf_dir):
     return metrics.duration_histogram(_metrics(spark, sf_dir), "duration", ["phase"])
 
 
-@query("zero_fill", with_roles("metrics", f"""select g.window_start, g.provider, coalesce(s.n, 0) as n from (select unnest(generate_series(a, b, interval 5 minutes)) as window_start, provider from (select min({BIN5}) as a, max({BIN5}) as b from metrics where status = 'failed'), (select distinct provider from metrics)) g
+@query("zero_fill", with_roles("metrics", f"""select g.window_start, g.provider, coalesce(s.n, 0) as n from ({GRID5}) g
     left join (select {BIN5} as window_start, provider, count(*) as n from metrics where status = 'failed' group by 1, 2) s on s.window_start = g.window_start and s.provider = g.provider"""))
 def zero_fill(spark, sf_dir):
     m = _metrics(spark, sf_dir)
     series = m.filter("status = 'failed'").groupBy(F.window("ts", "5 minutes").alias("w"), "provider").agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), "provider", "n")
-    return metrics.zero_fill(series, m.select("provider").distinct(), "provider", "n", 5)
+    return metrics.zero_fill(series, m, "provider", "n", 5)

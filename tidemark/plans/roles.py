@@ -39,7 +39,7 @@ ROLES = {
     "runs": """select event_id as id, cast(user_id % 5 as string) as provider, event_type as phase, case event_type when 'error' then 'failed' when 'view' then 'skipped' when 'signup' then 'running' else 'success' end as status,
         ts as started_at, case when event_type <> 'signup' then ts end as finished_at, case when event_type = 'purchase' then event_id end as raw_snapshot_id, value as duration, cast(case when value > 50 then props end as string) as error_message from events""",
     "errors": """select event_id as id, ts as occurred_at, cast(user_id % 5 as string) as provider, case user_id % 5 when 0 then 'fetch' when 1 then 'dedup' when 2 then 'parse' when 3 then 'enrich' else 'persist' end as stage,
-        case when value > 80 then 'critical' else 'error' end as severity, props as message, value < 5 as resolved,
+        case when value > 80 then 'critical' else 'error' end as severity, 'x' || repeat('é', cast(user_id % 50 as int)) || props as message, value < 5 as resolved,
         case when event_id % 4 = 2 then ts end as notified_at, case event_id % 4 when 0 then 'pending' when 1 then 'claimed' when 2 then 'sent' else 'dead' end as notification_state,
         case when event_id % 4 = 1 then ts end as notification_claimed_at, cast(event_id % 7 as int) as notification_attempts from events""",
     "snapshots": "select doc_id as id, source as provider, text as payload, lang from documents",

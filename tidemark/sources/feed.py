@@ -43,9 +43,16 @@ def fingerprint(payloads: DataFrame, content: str = "content") -> DataFrame:
 
 
 def drop_seen(landed: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Payloads whose (provider, sha256) the ledger lacks, the first of each."""
-    first = landed.groupBy("provider", "sha256").agg(F.min_by(F.struct("observed_at", "content"), F.struct("observed_at", "content")).alias("p"))
-    return first.join(ledger.select("provider", "sha256"), ["provider", "sha256"], "left_anti").select("provider", "p.observed_at", "p.content", "sha256")
+    """Payloads whose (provider, sha256) the ledger lacks, the first of each.
+
+    Which they are is found without contents; contents are moved only where one payload landed twice at a time.
+    """
+    key = ["provider", "sha256", "observed_at"]
+    times = landed.groupBy(*key).agg(F.count("*").alias("_n"))
+    first = times.groupBy("provider", "sha256").agg(F.min_by(F.struct("observed_at", "_n"), "observed_at").alias("p")).select("provider", "sha256", "p.*")
+    fresh = landed.join(first.join(ledger.select("provider", "sha256"), ["provider", "sha256"], "left_anti"), key)
+    names = ["provider", "observed_at", "content", "sha256"]
+    return fresh.filter("_n = 1").select(names).unionAll(fresh.filter("_n > 1").dropDuplicates(key).select(names))
 
 
 def parse(landed: DataFrame, text: Column | None = None) -> DataFrame:

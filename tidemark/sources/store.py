@@ -20,8 +20,9 @@ class StateStore:
 
     The commit is a rename of one pointer file to the next version's name,
     which fails if that exists; it lists every file folder of every table, so readers see
-    all tables of a version or none. A table is folders that are
-    replaced together and, for histories, folders of closed versions that are only added to.
+    all tables of a version or none. A table has one folder of open rows for each provider, which its next
+    snapshot replaces and no other touches, and folders of closed rows that are only added to
+    until ``compact`` makes one of many.
     """
 
     spark: SparkSession
@@ -33,7 +34,7 @@ class StateStore:
         return jvm, path.getFileSystem(conf), jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), conf)
 
     def pointer(self) -> dict:
-        """{"version", "tables": {name: {"schema", "open": [folders], "closed": [folders]}}}."""
+        """{"version", "tables": {name: {"open": {provider: folder}, "closed": [folders]}}}."""
         jvm, fs, _ = self._hadoop()
         folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/pointers")
         names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
@@ -46,22 +47,45 @@ class StateStore:
         finally:
             stream.close()
 
-    def read(self, name: str, schema: T.StructType, part: str | None = None) -> DataFrame:
-        """The rows of a table, of its ``open`` or ``closed`` part, or none."""
+    def read(self, name: str, schema: T.StructType, part: str | None = None, provider: str | None = None) -> DataFrame:
+        """The rows of a table, of its ``open`` or ``closed`` part, or none; open rows of one ``provider`` only, if given."""
         table = self.pointer()["tables"].get(name, {})
-        folders = [f for p in ("open", "closed") if part in (None, p) for f in table.get(p, [])]
+        open_ = [f for p, f in table.get("open", {}).items() if provider in (None, p)]
+        folders = [*(open_ if part in (None, "open") else []), *(table.get("closed", []) if part in (None, "closed") else [])]
         return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
     def write(self, name: str, df: DataFrame) -> str:
         folder = f"{self.root}/{name}/{uuid.uuid4().hex}"
-        df.write.parquet(folder)
+        df.write.option("compression", "zstd").parquet(folder)
         return folder
 
-    def commit(self, base: dict, replaced: dict[str, str], added: dict[str, str]) -> dict:
-        """The next version: ``replaced`` open parts, and ``added`` closed parts."""
+    def append(self, added: dict[str, DataFrame], tries: int = 5) -> dict:
+        """Add rows to tables in a commit of their own; another publisher's commit in between does no harm."""
+        folders = {name: self.write(name, df) for name, df in added.items()}
+        for k in range(tries):
+            try:
+                return self.commit(self.pointer(), {}, folders)
+            except Conflict:
+                if k == tries - 1:
+                    raise
+
+    def compact(self, name: str, schema: T.StructType, fan_in: int = 16) -> bool:
+        """Rewrite the closed part of a table as one folder once it has ``fan_in`` of them."""
+        base = self.pointer()
+        folders = base["tables"].get(name, {}).get("closed", [])
+        if len(folders) < fan_in:
+            return False
+        folder = self.write(name, self.spark.read.schema(schema).parquet(*folders))
+        base["tables"][name]["closed"] = []
+        self.commit(base, {}, {name: folder})
+        return True
+
+    def commit(self, base: dict, replaced: dict[tuple[str, str], str], added: dict[str, str]) -> dict:
+        """The next version: ``replaced`` open parts of (table, provider), and ``added`` closed parts."""
         tables = {n: dict(t) for n, t in base["tables"].items()}
-        for name, folder in replaced.items():
-            tables.setdefault(name, {})["open"] = [folder]
+        for (name, provider), folder in replaced.items():
+            table = tables.setdefault(name, {})
+            table["open"] = {**table.get("open", {}), provider: folder}
         for name, folder in added.items():
             table = tables.setdefault(name, {})
             table["closed"] = [*table.get("closed", []), folder]

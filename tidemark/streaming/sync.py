@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import hashlib
+import json
+import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import canonical, scd1, scd2
@@ -30,6 +34,13 @@ HISTORIES = {
     "availability": ("external_cruise_id string, external_room_id string", "available boolean"),
 }
 LEDGER = "provider string, sha256 string, observed_at timestamp_ntz"
+#: Tables that are only added to: payloads as they came, what happened to runs, errors as the digest takes them, health checks.
+PAYLOADS = f"{LEDGER}, content binary"
+RUNS = "run_id string, provider string, event string, status string, at timestamp_ntz, sha256 string, rows_read bigint, rows_written bigint, duration_ms bigint, error_message string"
+ERRORS = """id bigint, occurred_at timestamp_ntz, provider string, stage string, severity string, message string, context string, resolved boolean, notified_at timestamp_ntz,
+    notification_state string, notification_claimed_at timestamp_ntz, notification_attempts int""".replace("\n   ", "")
+HEALTH = "checked_at timestamp_ntz, component string, status string, latency_ms bigint, details string"
+METRICS = "run_id string, provider string, label string, n bigint"
 
 
 def _names(columns: str) -> list[str]:
@@ -56,22 +67,82 @@ def _stage(provider: str, name: str):
         raise SyncError(provider, name, e) from e
 
 
+def accounted(upserts: dict[str, int], deactivated: int, histories: dict[str, dict[str, int]]) -> tuple[dict[str, int], int, int]:
+    """The labels of a sync's write metrics, rows read and rows written.
+
+    Upserts are the rows that came, repeated keys too. Created counts new and reopened
+    versions, updated the changed or switched, closed those that went (of availability: that
+    switched off, which are among the updated). Rows written are upserts, created
+    and updated; rows read are those, closed prices and sales, and what was deactivated.
+    """
+    labels = {f"{k}_upserted": n for k, n in upserts.items()}
+    for name, actions in histories.items():
+        n = lambda *which: sum(actions.get(w, 0) for w in which)  # noqa: B023, E731
+        if name == "availability":
+            counts = n("opened"), n("switched_on", "switched_off"), n("switched_off")
+        else:
+            counts = n("created", "updated"), n("updated"), n("closed")
+        labels |= {f"{name}_{k}": v for k, v in zip(("created", "updated", "closed"), counts)}
+    written = sum(n for k, n in labels.items() if not k.endswith("_closed"))
+    read = written + labels.get("prices_closed", 0) + labels.get("sales_closed", 0) + deactivated
+    return labels | {"deactivated": deactivated}, read, written
+
+
+def _row(spark: SparkSession, columns: str, **values) -> DataFrame:
+    """One row with the given values, others null."""
+    schema = _schema(spark, columns)
+    return spark.createDataFrame([tuple(values.get(f.name) for f in schema)], schema)
+
+
 def sync_snapshot(store: StateStore, landed: DataFrame, provider: str, rules: list[rules_.Rule] = ()) -> dict | None:
-    """Apply one payload (one row of ``landed``); returns its outcome, or None if it was seen before.
+    """Apply one payload (one row of ``landed``); returns its write metrics, or None if it was seen before.
 
-    All changes of a snapshot are one commit. Within it every table is read once and diffed
-    by one join; open versions and dimensions are rewritten, closed versions are added.
+    All changes of a snapshot are one commit: tables, the payload itself, the ledger, the run's end, metrics and a health row.
+    Within it every table is read once and diffed
+    by one join; the provider's open versions and dimensions are rewritten, closed versions are added. A
+    failure is a commit of its own: the run's end, an error row with the stage, a health row.
     """
+    spark, began, run = store.spark, time.monotonic(), uuid.uuid4().hex
+    source = landed.filter(F.col("provider") == provider)
+    first = source.agg(F.min(F.struct("observed_at", "sha256")).alias("x")).first()["x"]
+    at, sha = (first["observed_at"], first["sha256"]) if first else (None, None)
+    store.append({"runs": _row(spark, RUNS, run_id=run, provider=provider, event="start", status="running", at=at, sha256=sha)})
+    took = lambda: int(1000 * (time.monotonic() - began))
+
+    def end(status: str, read: int = 0, written: int = 0, message: str | None = None) -> dict[str, DataFrame]:
+        return {
+            "runs": _row(spark, RUNS, run_id=run, provider=provider, event="finish", status=status, at=at, sha256=sha, rows_read=read, rows_written=written, duration_ms=took(), error_message=message),
+            "health": _row(spark, HEALTH, checked_at=at, component=f"sync:{provider}", status="down" if status == "failed" else "ok", latency_ms=took(), details=json.dumps({"run": run, "status": status}))}
+
+    try:
+        with contextlib.ExitStack() as spent:
+            metrics = _applied(store, source, provider, rules, spent, run, end)
+    except SyncError as e:
+        number = int(hashlib.sha256(run.encode()).hexdigest()[:15], 16)
+        store.append(end("failed", message=str(e)) | {"errors": _row(
+            spark, ERRORS, id=number, occurred_at=at, provider=provider, stage=e.stage, severity="error", message=str(e), context=json.dumps({"run": run, "sha256": sha}),
+            resolved=False, notification_state="pending", notification_attempts=0)})
+        raise
+    if metrics is None:
+        store.append(end("skipped"))
+    return metrics
+
+
+def _applied(store: StateStore, source: DataFrame, provider: str, rules: list, spent: contextlib.ExitStack, run: str, end) -> dict | None:
     spark, base = store.spark, store.pointer()
+
+    def held(df: DataFrame) -> DataFrame:
+        spent.callback(df.persist().unpersist)
+        return df
+
     with _stage(provider, "dedup"):
-        ledger = store.read("ledger", _schema(spark, LEDGER))
-        fresh = feed.drop_seen(landed.filter(F.col("provider") == provider), ledger).persist()
+        fresh = held(feed.drop_seen(source, store.read("ledger", _schema(spark, LEDGER))))
         first = fresh.select("observed_at", "sha256").first()
         if first is None:
             return None
     now = F.lit(first["observed_at"]).cast("timestamp_ntz")
     with _stage(provider, "parse"):
-        tree = feed.parse(fresh).persist()
+        tree = held(feed.parse(fresh))
         canon = {k: v.filter(F.col("provider") == provider).drop("observed_at") for k, v in canonical.canonicalise(feed.shred(tree)).items()}
         canonical.guard_not_empty(canon)
     with _stage(provider, "enrich"):
@@ -79,71 +150,68 @@ def sync_snapshot(store: StateStore, landed: DataFrame, provider: str, rules: li
         have = dict(enriched.dtypes)
         canon["tours"] = enriched.select("*", *[F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in ENRICHED.split(", ") if c.split()[0] not in have])
     with _stage(provider, "persist"):
-        replaced, added, outcome = {}, {}, {}
+        replaced, added, histories, upserts, deactivated = {}, {}, {}, {}, 0
         for name, (key, rest) in DIMENSIONS.items():
             attrs = _names(rest) + (_names(ENRICHED) if name == "tours" else [])
             keys = ["provider", *_names(key)]
             columns = f"provider string, {key}, {rest}, " + (f"{ENRICHED}, " if name == "tours" else "") + LIFE
+            upserts[name] = canon[name].count()
             incoming = scd1.last_wins(canon[name].select(*keys, *attrs, "ordinal"), keys, ["ordinal"]).drop("ordinal")
-            merged = scd1.merge_scd1(store.read(name, _schema(spark, columns)), incoming, keys, attrs, now)
-            kept = scd1.deactivate_missing(merged.drop("action"), incoming.select(*_names(key)), _names(key), provider, now)
-            replaced[name] = store.write(name, kept.drop("deactivated").select(*_names(columns)))
+            merged = scd1.merge_scd1(store.read(name, _schema(spark, columns), "open", provider), incoming, keys, attrs, now)
+            kept, gone = scd1.deactivate_missing(merged.drop("action"), incoming.select(*_names(key)), _names(key), provider, now), Observation()
+            replaced[name, provider] = store.write(name, kept.observe(gone, F.count_if("deactivated").alias("n")).drop("deactivated").select(*_names(columns)))
+            deactivated += gone.get["n"]
         for name, (key, rest) in HISTORIES.items():
             keys, values = ["provider", *_names(key)], _names(rest)
             schema = _schema(spark, f"provider string, {key}, {rest}, {VERSION}")
-            open_ = store.read(name, schema, "open")
-            mine, others = open_.filter(F.col("provider") == provider), open_.filter(F.col("provider") != provider)
+            open_ = store.read(name, schema, "open", provider)
             if name == "availability":
-                plan = scd2.presence_plan(mine, canon[name], keys, empty=canon[name].isEmpty()).persist()
+                plan = held(scd2.presence_plan(open_, canon[name], keys, empty=canon[name].isEmpty()))
                 versions = scd2.presence_versions(plan, keys, now)
             else:
                 rows = scd2.stage(canon[name].select(*keys, *values, "ordinal"), keys, ["ordinal"], [c for c in values if c != "currency"], ["partial_buyout"])
-                plan = scd2.scd2_plan(mine, rows, keys, values).persist()
+                plan = held(scd2.scd2_plan(open_, rows, keys, values))
                 versions = scd2.scd2_versions(plan, keys, values, now)
             versions = versions.select(*schema.names)
-            outcome[name] = {r["action"]: r["count"] for r in plan.groupBy("action").count().collect()}
-            replaced[name] = store.write(name, others.unionByName(scd2.scd2_current(versions)))
+            histories[name] = {r["action"]: r["count"] for r in plan.groupBy("action").count().collect()}
+            replaced[name, provider] = store.write(name, scd2.scd2_current(versions))
             added[name] = store.write(f"{name}_closed", versions.filter("valid_to is not null"))
-            plan.unpersist()
-        added["ledger"] = store.write("ledger", fresh.select("provider", "sha256", "observed_at"))
-        store.commit(base, replaced, added)
-    tree.unpersist()
-    fresh.unpersist()
-    return outcome
+        labels, read, written = accounted(upserts, deactivated, histories)
+        rows = {
+            "ledger": fresh.select("provider", "sha256", "observed_at"), "payloads": fresh.select("provider", "sha256", "observed_at", "content"), **end("success", read, written),
+            "metrics": spark.createDataFrame([(run, provider, k, n) for k, n in labels.items()], METRICS)}
+        store.commit(base, replaced, added | {name: store.write(name, df) for name, df in rows.items()})
+    return labels
 
 
 def sync_batch(store: StateStore, batch: DataFrame, rules: dict[str, list] | None = None) -> dict[str, list]:
-    """Apply a micro-batch: each provider's payloads in order of time; one provider's failure stops no other.
+    """Apply a micro-batch: each provider's payloads in order of time; a failed payload stops no other, later ones of its provider
+    neither, since each is a whole snapshot.
 
     The driver loops over payloads, of which a batch has a few; rows stay in Spark.
     """
     done, failed = [], []
     batch = batch.persist()
-    order = batch.select("provider", "observed_at", "sha256").distinct().orderBy("observed_at", "sha256").collect()
-    broken = set()
-    for r in order:
-        if r["provider"] in broken:
-            continue
-        one = batch.filter((F.col("provider") == r["provider"]) & (F.col("sha256") == r["sha256"]))
-        try:
-            done.append((r["provider"], sync_snapshot(store, one, r["provider"], (rules or {}).get(r["provider"], ()))))
-        except SyncError as e:
-            broken.add(r["provider"])
-            failed.append(e)
-    batch.unpersist()
+    try:
+        for r in batch.select("provider", "observed_at", "sha256").distinct().orderBy("observed_at", "sha256").collect():
+            one = batch.filter((F.col("provider") == r["provider"]) & (F.col("sha256") == r["sha256"]))
+            try:
+                done.append((r["provider"], sync_snapshot(store, one, r["provider"], (rules or {}).get(r["provider"], ()))))
+            except SyncError as e:
+                failed.append(e)
+    finally:
+        batch.unpersist()
+    for name, (key, rest) in HISTORIES.items():
+        store.compact(name, _schema(store.spark, f"provider string, {key}, {rest}, {VERSION}"))
+    for name, columns in (("ledger", LEDGER), ("runs", RUNS), ("errors", ERRORS), ("health", HEALTH), ("metrics", METRICS)):
+        store.compact(name, _schema(store.spark, columns))
     return {"done": done, "failed": failed}
 
 
 def sync_stream(store: StateStore, path: str, provider: str, checkpoint: str, rules: dict[str, list] | None = None):
-    """A query that applies files as they land; a batch that runs again finds its payloads in the ledger."""
+    """A query that applies files as they land; a batch that runs again finds its payloads in the ledger, and a bad one leaves an error row and goes by."""
     landed = feed.land(store.spark, path, provider, streaming=True)
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        result = sync_batch(store, batch, rules)
-        if result["failed"]:
-            raise result["failed"][0]
-
-    return landed.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return landed.writeStream.foreachBatch(lambda batch, _: sync_batch(store, batch, rules) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def windowed_stream(rows: DataFrame, ts: str, minutes: int, by: list[str], late: str = "10 minutes") -> DataFrame:
