@@ -83,13 +83,21 @@ def cursor_encode(spark, sf_dir):
     return role(spark, sf_dir, "tours").select("cruise_id", encode_cursor(F.col("begin_date"), F.col("cruise_id")).alias("page_cursor"))
 
 
-@query("cursor_decode", with_roles("tours", """select cruise_id, case city when 'O' then null when 'P' then null else begin_date end as begin_date_out, case city when 'O' then null when 'P' then null else cruise_id || '|x' end as id_out,
-    case city when 'O' then 'shape' when 'P' then 'empty_id' end as error from tours"""))
+# Cursors that are whole or broken in one of five ways, in turn by ship; a broken date and no id at once is no id.
+BROKEN = ("", "hex", "utf8", "shape", "empty_id", "date", "", "empty_id")
+DECODED = " ".join(f"when {k} then {f'null' if not e else repr(e)}" for k, e in enumerate(BROKEN))
+
+
+@query("cursor_decode", with_roles("tours", f"""select cruise_id, case when error is null then begin_date end as begin_date_out, case when error is null then cruise_id || '|x' end as id_out, error
+    from (select *, case cast(object_id as bigint) % 8 {DECODED} end as error from tours)"""))
 def cursor_decode(spark, sf_dir):
-    """Cursors that are whole, lack the separator, or lack the id, by the tour's city."""
-    text = F.when(F.col("city") == "O", F.date_format("begin_date", "yyyy-MM-dd")).when(F.col("city") == "P", F.concat(F.date_format("begin_date", "yyyy-MM-dd"), F.lit("|"))).otherwise(
-        F.concat(F.date_format("begin_date", "yyyy-MM-dd"), F.lit("|"), F.col("cruise_id"), F.lit("|x")))
-    d = role(spark, sf_dir, "tours").select("cruise_id", decode_cursor(F.lower(F.hex(F.encode(text, "UTF-8")))).alias("d"))
+    date, kind = F.date_format("begin_date", "yyyy-MM-dd"), F.col("object_id").cast("long") % 8
+    coded = lambda text: F.lower(F.hex(F.encode(text, "UTF-8")))
+    whole = coded(F.concat(date, F.lit("|"), F.col("cruise_id"), F.lit("|x")))
+    text = (
+        F.when(kind == 1, F.concat(whole, F.lit("0g"))).when(kind == 2, F.concat(whole, F.lit("c328"))).when(kind == 3, coded(date)).when(kind == 4, coded(F.concat(date, F.lit("|"))))
+        .when(kind == 5, coded(F.concat(F.lit("2031-02-30|"), F.col("cruise_id")))).when(kind == 7, coded(F.lit("no date|"))).otherwise(whole))
+    d = role(spark, sf_dir, "tours").select("cruise_id", decode_cursor(text).alias("d"))
     return d.select("cruise_id", F.col("d.begin_date").alias("begin_date_out"), F.col("d.cruise_id").alias("id_out"), "d.error")
 
 

@@ -1,7 +1,7 @@
 """Queries of ingest, normalisation and enrichment.
 
-Feeds are built from whole tables: one XML payload for each order, customer
-or part, with that row's records in it, then parsed back.
+Feeds are built from whole tables: one XML payload for each range of keys, with
+all its records in it, then parsed back.
 """
 
 from __future__ import annotations
@@ -18,9 +18,15 @@ from tidemark.sources import feed
 AT = "2024-01-31 00:00:00"
 
 
-def _payloads(df, body):
-    """provider, observed_at and the parsed tree of ``<root>body</root>`` for each row."""
-    return feed.parse(df.select(F.lit("1").alias("provider"), ts(AT).alias("observed_at"), F.encode(F.concat(F.lit("<root>"), body, F.lit("</root>")), "UTF-8").alias("content")))
+#: Keys whose records go into one payload.
+RANGE = 1000
+
+
+def _payloads(df, section, record, key):
+    """provider, observed_at and the parsed tree of a payload for each range of ``key``, with each row's ``record`` in ``section``."""
+    whole = df.select(F.floor(F.col(key) / RANGE).alias("range"), record.alias("record")).groupBy("range").agg(F.array_join(F.collect_list("record"), "").alias("records"))
+    content = F.encode(F.concat(F.lit(f"<root><{section}>"), F.col("records"), F.lit(f"</{section}></root>")), "UTF-8")
+    return feed.parse(whole.select(F.lit("1").alias("provider"), ts(AT).alias("observed_at"), content.alias("content")))
 
 
 def _tag(name, /, **attributes):
@@ -31,36 +37,37 @@ def _tag(name, /, **attributes):
     return F.concat(*parts, F.lit("/>"))
 
 
-def _in(section, rows):
-    return F.concat(F.lit(f"<{section}>"), rows, F.lit(f"</{section}>"))
-
-
 def _raw(spark, sf_dir, kind):
     t = lambda n: table(spark, sf_dir, n)
+    made = lambda *args: feed.shred(_payloads(*args))
     c = F.col
     if kind == "ships":
-        return feed.shred(_payloads(t("customer"), _in("ships", _tag("ship", id=c("c_custkey"), name=c("c_name")))))["ships"]
+        return made(t("customer"), "ships", _tag("ship", id=c("c_custkey"), name=c("c_name")), "c_custkey")["ships"]
     if kind == "decks":
-        return feed.shred(_payloads(t("nation"), _in("decks", _tag("deck", id=c("n_nationkey"), name=c("n_name")))))["decks"]
+        return made(t("nation"), "decks", _tag("deck", id=c("n_nationkey"), name=c("n_name")), "n_nationkey")["decks"]
     if kind == "classes":
         seats = F.when(c("p_size") > 25, c("p_size").cast("string")).otherwise("many")
-        return feed.shred(_payloads(t("part"), _in("classes", _tag("class", id=c("p_partkey"), name=c("p_name"), comment=c("p_type"), m_count=seats, no_full=(c("p_size") > 10).cast("int")))))["classes"]
+        return made(t("part"), "classes", _tag("class", id=c("p_partkey"), name=c("p_name"), comment=c("p_type"), m_count=seats, r_count=c("p_size") * 2, no_full=(c("p_size") > 10).cast("int")), "p_partkey")["classes"]
     if kind == "cabins":
-        return feed.shred(_payloads(t("supplier"), _in("cabins", _tag("cabin", id=c("s_suppkey"), ship=c("s_nationkey"), number=c("s_name"), class_id=c("s_suppkey") + 100))))["cabins"]
-    orders = t("orders")
-    cruise = _tag("cruise", id=c("o_orderkey"), ship_id=c("o_custkey"), begin_date=F.date_format("o_orderdate", "dd.MM.yyyy"), begin_time=F.when(c("o_orderstatus") == "F", "10:30").otherwise("soon"),
-                  end_date=F.date_format(F.date_add("o_orderdate", 5), "dd.MM.yyyy"), route=c("o_orderpriority"), child_price=F.when(c("o_orderstatus") == "O", c("o_totalprice").cast("decimal(12,2)").cast("string")).otherwise(" "))
-    if kind == "cruises":
-        return feed.shred(_payloads(orders, _in("cruises", cruise)))["cruises"]
+        return made(t("supplier"), "cabins", _tag("cabin", id=c("s_suppkey"), ship=c("s_nationkey"), number=c("s_name"), class_id=c("s_suppkey") + 100), "s_suppkey")["cabins"]
+    if kind in ("cruises", "cruises twice"):
+        record = lambda child: _tag(
+            "cruise", id=c("o_orderkey"), ship_id=c("o_custkey"), begin_date=F.date_format("o_orderdate", "dd.MM.yyyy"), begin_time=F.when(c("o_orderstatus") == "F", "10:30").otherwise("soon"),
+            end_date=F.date_format(F.date_add("o_orderdate", 5), "dd.MM.yyyy"), end_time=F.when(c("o_orderstatus") == "P", "18:05"), route=c("o_orderpriority"), child_price=child,
+            dop_price=F.when(c("o_orderstatus") == "F", F.concat(F.lit(" "), (c("o_orderkey") % 100).cast("string"), F.lit(".5 "))))
+        cruise = record(F.when(c("o_orderstatus") == "O", c("o_totalprice").cast("decimal(12,2)").cast("string")).otherwise(" "))
+        if kind == "cruises twice":  # an earlier record of the same cruise, which the later one overrides
+            cruise = F.concat(record(F.lit("1.5")), cruise)
+        return made(t("orders"), "cruises", cruise, "o_orderkey")["cruises"]
     lines = t("lineitem")
     price = F.when(c("l_linestatus") == "O", c("l_extendedprice").cast("decimal(12,2)").cast("string")).otherwise(F.when(c("l_returnflag") == "A", "n/a").otherwise(c("l_quantity").cast("int").cast("string")))
     if kind in ("prices", "rejects"):
-        return feed.shred(_payloads(lines, _in("prices", _tag("price", cruise_id=c("l_orderkey"), class_id=c("l_partkey"), price=price, nofull=F.when(c("l_tax") > 0.04, "yes").otherwise("TRUE")))))[kind]
+        return made(lines, "prices", _tag("price", cruise_id=c("l_orderkey"), class_id=c("l_partkey"), price=price, nofull=F.when(c("l_tax") > 0.04, "yes").otherwise("TRUE")), "l_orderkey")[kind]
     if kind == "spos":
-        return feed.shred(_payloads(lines, _in("spos", _tag("spo", cruise_id=c("l_orderkey"), class_id=c("l_partkey"), cabin_id=c("l_suppkey"), spo=price))))["spos"]
+        return made(lines, "spos", _tag("spo", cruise_id=c("l_orderkey"), class_id=c("l_partkey"), cabin_id=c("l_suppkey"), spo=price, nofull=F.when(c("l_tax") > 0.04, "1").otherwise("0")), "l_orderkey")["spos"]
     if kind == "free":
         cabins = lines.groupBy("l_orderkey").agg(F.array_join(F.transform(F.collect_set("l_suppkey"), lambda x: F.concat(F.lit('<cabin id="'), x.cast("string"), F.lit('"/>'))), "").alias("cabins"))
-        return feed.shred(_payloads(cabins, _in("free", F.concat(F.lit('<cruise id="'), c("l_orderkey").cast("string"), F.lit('">'), c("cabins"), F.lit("</cruise>")))))["free"]
+        return made(cabins, "free", F.concat(F.lit('<cruise id="'), c("l_orderkey").cast("string"), F.lit('">'), c("cabins"), F.lit("</cruise>")), "l_orderkey")["free"]
     raise KeyError(kind)
 
 
@@ -72,21 +79,21 @@ def _xml(name, kind, columns, sql):
 
 SHIPS = "select cast(c_custkey as string) as id, c_name as name from customer"
 DECKS = "select cast(n_nationkey as string) as id, n_name as name from nation"
-CLASSES = "select cast(p_partkey as string) as id, p_name as name, p_type as comment, case when p_size > 25 then p_size end as m_count, p_size > 10 as no_full from part"
+CLASSES = "select cast(p_partkey as string) as id, p_name as name, p_type as comment, case when p_size > 25 then p_size end as m_count, p_size * 2 as r_count, p_size > 10 as no_full from part"
 CABINS = "select cast(s_suppkey as string) as id, cast(s_nationkey as string) as ship, s_name as number, cast(s_suppkey + 100 as string) as class_id, '' as deck from supplier"
-CRUISES = "select cast(o_orderkey as string) as id, cast(o_custkey as string) as ship_id, strftime(o_orderdate, '%d.%m.%Y') as begin_date, o_orderpriority as route, case when o_orderstatus = 'O' then cast(o_totalprice as decimal(12,2)) end as child_price from orders"
+CRUISES = """select cast(o_orderkey as string) as id, cast(o_custkey as string) as ship_id, strftime(o_orderdate, '%d.%m.%Y') as begin_date, case when o_orderstatus = 'F' then '10:30' else 'soon' end as begin_time, strftime(cast(o_orderdate as date) + 5, '%d.%m.%Y') as end_date, case when o_orderstatus = 'P' then '18:05' end as end_time, case when o_orderstatus = 'F' then cast(o_orderkey % 100 + 0.5 as decimal(12,2)) end as dop_price, o_orderpriority as route, case when o_orderstatus = 'O' then cast(o_totalprice as decimal(12,2)) end as child_price from orders"""
 AMOUNT = "case when l_linestatus = 'O' then cast(l_extendedprice as decimal(12,2)) else cast(cast(l_quantity as int) as decimal(12,2)) end"
 GOOD = "l_linestatus = 'O' or l_returnflag <> 'A'"
 PRICES = f"select cast(l_orderkey as string) as cruise_id, cast(l_partkey as string) as class_id, {AMOUNT} as price, case when l_tax > 0.04 then true end as nofull from lineitem where {GOOD}"
-SPOS = f"select cast(l_orderkey as string) as cruise_id, cast(l_partkey as string) as class_id, cast(l_suppkey as string) as cabin_id, {AMOUNT} as spo from lineitem where {GOOD}"
+SPOS = f"select cast(l_orderkey as string) as cruise_id, cast(l_partkey as string) as class_id, cast(l_suppkey as string) as cabin_id, {AMOUNT} as spo, l_tax > 0.04 as nofull from lineitem where {GOOD}"
 FREE = "select distinct cast(l_orderkey as string) as cruise_id, cast(l_suppkey as string) as cabin_id from lineitem"
 _xml("xml_ships", "ships", ["id", "name"], SHIPS)
 _xml("xml_decks", "decks", ["id", "name"], DECKS)
-_xml("xml_classes", "classes", ["id", "name", "comment", "m_count", "no_full"], CLASSES)
+_xml("xml_classes", "classes", ["id", "name", "comment", "m_count", "r_count", "no_full"], CLASSES)
 _xml("xml_cabins", "cabins", ["id", "ship", "number", "class_id", "deck"], CABINS)
-_xml("xml_cruises", "cruises", ["id", "ship_id", "begin_date", "route", "child_price"], CRUISES)
+_xml("xml_cruises", "cruises", ["id", "ship_id", "begin_date", "begin_time", "end_date", "end_time", "route", "child_price", "dop_price"], CRUISES)
 _xml("xml_prices", "prices", ["cruise_id", "class_id", "price", "nofull"], PRICES)
-_xml("xml_spos", "spos", ["cruise_id", "class_id", "cabin_id", "spo"], SPOS)
+_xml("xml_spos", "spos", ["cruise_id", "class_id", "cabin_id", "spo", "nofull"], SPOS)
 _xml("xml_free", "free", ["cruise_id", "cabin_id"], FREE)
 
 
@@ -148,14 +155,14 @@ def _canon(name, build, columns, sql):
 
 _canon("canon_objects", lambda s, d: canonical.objects(_raw(s, d, "ships")), ["external_id", "name"], f"select id as external_id, name from ({SHIPS})")
 _canon("canon_classes", lambda s, d: canonical.classes(_raw(s, d, "classes")), ["external_object_id", "external_class_id", "name", "description", "base_seats", "tiers", "partial_buyout"],
-       f"select substr(id, 1, length(id) - 2) as external_object_id, id as external_class_id, name, comment as description, m_count as base_seats, cast(null as int) as tiers, no_full as partial_buyout from ({CLASSES}) where length(id) >= 3")
+       f"select substr(id, 1, length(id) - 2) as external_object_id, id as external_class_id, name, comment as description, m_count as base_seats, r_count as tiers, no_full as partial_buyout from ({CLASSES}) where length(id) >= 3")
 _canon("canon_rooms", lambda s, d: canonical.rooms(_raw(s, d, "cabins")), ["external_object_id", "external_stage_id", "external_class_id", "external_room_id", "number"],
        f"select ship as external_object_id, deck as external_stage_id, class_id as external_class_id, id as external_room_id, number from ({CABINS})")
 TOURS = """select cast(o_custkey as string) as external_object_id, cast(o_orderkey as string) as external_cruise_id, cast(1 as bigint) as cruise_type_id, cast(o_orderdate as date) as begin_date, case when o_orderstatus = 'F' then '10:30:00' end as begin_time,
-    cast(o_orderdate as date) + 5 as end_date, cast(null as string) as end_time, o_orderpriority as name from orders"""
+    cast(o_orderdate as date) + 5 as end_date, case when o_orderstatus = 'P' then '18:05:00' end as end_time, o_orderpriority as name from orders"""
 _canon("canon_tours", lambda s, d: canonical.tours(_raw(s, d, "cruises")), ["external_object_id", "external_cruise_id", "cruise_type_id", "begin_date", "begin_time", "end_date", "end_time", "name"], TOURS)
-_canon("canon_prices", lambda s, d: canonical.prices(_raw(s, d, "prices"), _raw(s, d, "cruises")), ["external_cruise_id", "external_class_id", "base_price", "partial_buyout", "child_price", "extra_seat", "currency"],
-       f"select p.cruise_id as external_cruise_id, p.class_id as external_class_id, p.price as base_price, p.nofull as partial_buyout, c.child_price, cast(null as decimal(12,2)) as extra_seat, 'RUB' as currency from ({PRICES}) p left join ({CRUISES}) c on c.id = p.cruise_id")
+_canon("canon_prices", lambda s, d: canonical.prices(_raw(s, d, "prices"), _raw(s, d, "cruises twice")), ["external_cruise_id", "external_class_id", "base_price", "partial_buyout", "child_price", "extra_seat", "currency"],
+       f"select p.cruise_id as external_cruise_id, p.class_id as external_class_id, p.price as base_price, p.nofull as partial_buyout, c.child_price, c.dop_price as extra_seat, 'RUB' as currency from ({PRICES}) p left join ({CRUISES}) c on c.id = p.cruise_id")
 _canon("canon_sales", lambda s, d: canonical.sales(_raw(s, d, "spos")), ["external_cruise_id", "external_class_id", "external_room_id", "base_price", "currency"],
        f"select cruise_id as external_cruise_id, class_id as external_class_id, cabin_id as external_room_id, spo as base_price, 'RUB' as currency from ({SPOS})")
 _canon("canon_availability", lambda s, d: canonical.availability(_raw(s, d, "free")), ["external_cruise_id", "external_room_id", "available"], f"select cruise_id as external_cruise_id, cabin_id as external_room_id, true as available from ({FREE})")
