@@ -123,14 +123,16 @@ def quality_rules(
         .groupBy("k1", "k2").agg(F.collect_set("line").alias("gone"))
     )
     is_gone = lambda x: F.array_contains("gone", F.xxhash64(normal_line(x)))
-    removed = F.aggregate(F.filter("_lines", is_gone), F.lit(0).cast("long"), lambda n, x: n + F.size(words_of(x)))
+    removed = F.aggregate(F.filter(lines_of(whole), is_gone), F.lit(0).cast("long"), lambda n, x: n + F.size(words_of(x)))
     others = F.filter(F.split("text", "\n", -1), lambda x: ~is_gone(x))
     left = F.col("n_words") - F.col("removed_words")
     depleted = (F.col("removed_words") > 0) & ((left < min_words) | (left < min_left * F.col("n_words")))
+    # Counts are made below the join, and a verdict needs both of its sides: so no filter on it moves below
+    # the counts, whose nested parts it would repeat again and again.
     return (
-        base_counts(row.select("row", "text", *key).join(gone, ["k1", "k2"], "left").drop("k1", "k2"))
+        base_counts(row.select("row", "text", *key)).drop("_lines").join(gone, ["k1", "k2"], "left").drop("k1", "k2")
         .withColumn("removed_words", F.when(F.col("gone").isNull(), F.lit(0)).otherwise(removed).cast("long"))
-        .withColumn("kept", ~F.col("base_failed") & ~depleted)
+        .withColumn("kept", F.when(F.col("base_failed"), False).otherwise(~depleted))
         .withColumn("clean_text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(others, "\n")))
         .select(*[F.col("row")[c].alias(c) for c in names], *added)
     )
