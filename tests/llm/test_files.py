@@ -1,5 +1,6 @@
 """Token files and sharding: exact round trips."""
 
+import random
 import zlib
 
 import numpy as np
@@ -12,10 +13,10 @@ from tidemark.llm.bpe import tokenizer_path
 from tidemark.llm.common import new_folder
 
 
-def expected(texts):
+def expected(texts, order=lambda t: len(t)):
     lib = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     out, at = [], 0
-    for d, t in sorted(texts, key=lambda x: (x[0], x[1] or "")):
+    for d, t in sorted(texts, key=lambda x: (x[0], order(x[1] or ""))):
         ids = np.array([*lib.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
         out.append((d, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
@@ -96,6 +97,44 @@ def test_sharding_query(spark, sf_dir):
     assert len(got) == len(docs)
 
 
+def test_columns_of_all_arrivals_survive_compaction(spark):
+    """New, missing and retyped columns, one that is called like an inner name, nulls, repeats and an empty arrival."""
+    store = sharding.ShardStore(spark, new_folder(spark, "s"), target_bytes=100_000, fan_in=2, smallest_bytes=2_000)
+    long = "é" * 200_000
+    store.append(spark.createDataFrame([(1, "a", "mine"), (1, "a", "mine"), (None, None, None)], "doc_id long, text string, _shard string").coalesce(1))
+    store.append(spark.createDataFrame([(2, long, 0.5, [1])], "doc_id long, text string, extra double, merged array<int>").coalesce(1))
+    store.append(spark.createDataFrame([], "doc_id long, late date"))
+    for bad in ("doc_id string", "doc_id long, EXTRA double"):
+        with pytest.raises(ValueError):
+            store.append(spark.createDataFrame([], bad))
+
+    def seen():
+        return sorted(((r.doc_id or 0), r.text or "", r["_shard"], r.extra, r.merged, r.late) for r in store.read().collect())
+
+    before = seen()
+    assert before == [(0, "", None, None, None, None), (1, "a", "mine", None, None, None), (1, "a", "mine", None, None, None), (2, long, None, 0.5, [1], None)]
+    store.compact()
+    assert seen() == before and any(s["merged"] for s in store.manifest()["shards"])
+    assert store.read().columns == ["doc_id", "text", "_shard", "extra", "merged", "late"]
+    assert store.read(merged=True).count() + store.read(merged=False).count() == 4
+
+
+def test_tiers_merge_runs_of_like_size_only(spark):
+    """What is due follows from sizes alone: a plain model of tiers picks the same runs."""
+    store = sharding.ShardStore(spark, "file:///tmp/none", target_bytes=64_000, fan_in=4, smallest_bytes=1_000)
+    rnd = random.Random(1)
+    for _ in range(200):
+        shards = [{"path": str(k), "bytes": int(2 ** rnd.uniform(8, 17))} for k in range(rnd.randrange(0, 30))]
+        tiers = {}
+        for s in shards:
+            if s["bytes"] < 32_000:
+                k = 0
+                while s["bytes"] >= 1_000 * 4 ** (k + 1):
+                    k += 1
+                tiers.setdefault(k, []).append(s)
+        assert store.due(shards) == [t for _, t in sorted(tiers.items()) if len(t) >= 4]
+
+
 def test_empty_arrival(spark):
     store = sharding.ShardStore(spark, new_folder(spark, "s"))
     store.append(spark.createDataFrame([], "doc_id long, text string"))

@@ -34,7 +34,7 @@ def brute_fp(spark, text):
         "w", F.transform("w", lambda x, i: F.xxhash64(x, F.get("w", i + 1))).alias("h")).first()
     ones, total = [0] * 64, 0
     for i, h in enumerate(row.h):
-        w = max(1, min(16, len(row.w[i]) + (len(row.w[i + 1]) if i + 1 < len(row.w) else 0)))
+        w = max(1, len(row.w[i]) + (len(row.w[i + 1]) if i + 1 < len(row.w) else 0))
         total += w
         for b in range(64):
             ones[b] += w * ((h & M) >> b & 1)

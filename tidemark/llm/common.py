@@ -106,7 +106,7 @@ def power_bounds(ids: DataFrame, col: str, rows_per_bucket: int, most: int = 65_
     if buckets == 1:
         return []
     shares = [i / buckets for i in range(1, buckets)]
-    row = ids.agg(F.percentile_approx(col, shares, max(10_000, 20 * buckets)).alias("b")).first()
+    row = ids.agg(F.percentile_approx(col, shares, max(10_000, 4 * buckets)).alias("b")).first()
     return list(row["b"] or [])
 
 

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import documents, new_folder
 
@@ -21,7 +22,9 @@ class ShardStore:
     the next version number by a rename that fails if that version exists. So
     readers see whole versions only, and of two writers one must start again
     (``CommitConflict``). Files of lost or overtaken writes are never listed. Manifests hold a path and a size for each
-    shard; rows never pass through the driver.
+    shard, and the schema: the union of all arrivals' columns. A column that a shard lacks is null in its rows, before
+    and after compaction; an arrival that gives a column another type is refused. Rows may repeat, hold nulls anywhere
+    and texts of any length, and come back as they came; an arrival without rows adds its columns only. Rows never pass through the driver.
     """
 
     spark: SparkSession
@@ -51,10 +54,10 @@ class ShardStore:
         return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
 
     def manifest(self, version: int | None = None) -> dict:
-        """{"version", "shards": [{"path", "bytes"}]}; version 0 is empty."""
+        """{"version", "schema", "shards": [{"path", "bytes", "merged"}]}; version 0 is empty."""
         version = max(self.versions(), default=0) if version is None else version
         if version == 0:
-            return {"version": 0, "shards": []}
+            return {"version": 0, "schema": T.StructType().jsonValue(), "shards": []}
         j = self._fs()
         stream = j["fs"].open(j["path"](f"{self.root}/manifests/v{version:010d}.json"))
         try:
@@ -62,8 +65,8 @@ class ShardStore:
         finally:
             stream.close()
 
-    def commit(self, base: dict, shards: list[dict]) -> dict:
-        j, new = self._fs(), {"version": base["version"] + 1, "shards": shards}
+    def commit(self, base: dict, shards: list[dict], schema: T.StructType | None = None) -> dict:
+        j, new = self._fs(), {"version": base["version"] + 1, "schema": schema.jsonValue() if schema else base["schema"], "shards": shards}
         temporary = j["path"](f"{self.root}/manifests/_{uuid.uuid4().hex}")
         stream = j["fs"].create(temporary, False)
         stream.write(bytearray(json.dumps(new).encode()))
@@ -78,17 +81,18 @@ class ShardStore:
             raise
         return new
 
-    def _write(self, df: DataFrame) -> list[dict]:
+    def _write(self, df: DataFrame, merged: bool) -> list[dict]:
         """New shards with the rows of ``df``, one for each partition that has any."""
         j, folder = self._fs(), f"{self.root}/data/{uuid.uuid4().hex}"
         df.write.option("compression", self.codec).parquet(folder)
         files = [s for s in j["fs"].listStatus(j["path"](folder)) if s.getPath().getName().startswith("part-")]
-        return [{"path": s.getPath().toString(), "bytes": int(s.getLen())} for s in files]
+        return [{"path": s.getPath().toString(), "bytes": int(s.getLen()), "merged": merged} for s in files]
 
     def append(self, rows: DataFrame) -> dict:
         """Add one arrival as small shards: what each task has, without a shuffle."""
         base = self.manifest()
-        return self.commit(base, base["shards"] + self._write(rows))
+        schema = union_schema(self.schema(base), rows.schema)
+        return self.commit(base, base["shards"] + self._write(rows, False), schema)
 
     def tier(self, size: int) -> int:
         return max(0, math.floor(math.log(max(size, 1) / self.smallest_bytes, self.fan_in))) if size > self.smallest_bytes else 0
@@ -113,39 +117,50 @@ class ShardStore:
             shards, schema = base["shards"], self.schema(base)
             for run in runs:
                 total = sum(s["bytes"] for s in run)
-                merged = self.spark.read.schema(schema).parquet(*[s["path"] for s in run]).coalesce(math.ceil(total / self.target_bytes))
+                rows = self.spark.read.schema(schema).parquet(*[s["path"] for s in run]).coalesce(math.ceil(total / self.target_bytes))
                 gone = {s["path"] for s in run}
-                shards = [s for s in shards if s["path"] not in gone] + self._write(merged)
+                shards = [s for s in shards if s["path"] not in gone] + self._write(rows, True)
             if len(shards) >= len(base["shards"]):  # a scan may keep more partitions than asked for
                 return base
             base = self.commit(base, shards)
         return base
 
-    def schema(self, manifest: dict):
-        return self.spark.read.parquet(manifest["shards"][0]["path"]).schema
+    def schema(self, manifest: dict) -> T.StructType:
+        return T.StructType.fromJson(manifest["schema"])
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """Rows of a version, with the name of the shard that holds them in ``_shard``."""
-        shards = self.manifest(version)["shards"]
-        if not shards:
-            raise ValueError("this version has no shards")
-        return self.spark.read.schema(self.schema({"shards": shards})).parquet(*[s["path"] for s in shards]).withColumn("_shard", F.col("_metadata.file_path"))
+    def read(self, version: int | None = None, merged: bool | None = None) -> DataFrame:
+        """Rows of a version; only those of shards that compaction made, or of those that it did not, with ``merged``."""
+        last = self.manifest(version)
+        paths = [s["path"] for s in last["shards"] if merged in (None, s["merged"])]
+        schema = self.schema(last)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+
+def union_schema(a: T.StructType, b: T.StructType) -> T.StructType:
+    """Columns of ``a``, then new ones of ``b``, all of them nullable; names that differ in case only, or one name of two types, are refused."""
+    kinds = {f.name: f.dataType for f in a.fields}
+    for f in b.fields:
+        if kinds.setdefault(f.name, f.dataType) != f.dataType:
+            raise ValueError(f"column {f.name} is {kinds[f.name].simpleString()}, not {f.dataType.simpleString()}")
+    if len({n.lower() for n in kinds}) < len(kinds):
+        raise ValueError("columns whose names differ in case only")
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
 
 
 class CommitConflict(RuntimeError):
     """Another writer committed this version first."""
 
 
-def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append the documents, compact, and read every row back from the last version.
+def op8_sharding(spark: SparkSession, sf_dir: str, arrivals: int = 6) -> DataFrame:
+    """Let the documents arrive in parts, compact after each, and read every row back from the last version.
 
-    doc_id, version, whether its shard was merged, bytes and crc32 of its text.
+    The parts, by a hash of the doc_id, make up the whole table. doc_id, version, whether its shard was merged, bytes and crc32 of its text.
     """
-    store = ShardStore(spark, new_folder(spark, "shards"))
-    arrived = {s["path"] for s in store.append(documents(spark, sf_dir))["shards"]}
-    last = store.compact()
-    kept = [s["path"].rpartition("/")[2] for s in last["shards"] if s["path"] in arrived]
-    name = F.element_at(F.split("_shard", "/"), -1)
-    return store.read().select(
-        "doc_id", F.lit(last["version"]).alias("version"), (~name.isin(kept)).alias("merged") if kept else F.lit(True).alias("merged"),
+    store, docs = ShardStore(spark, new_folder(spark, "shards")), documents(spark, sf_dir)
+    for k in range(arrivals):
+        store.append(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(arrivals)) == k))
+        last = store.compact()
+    rows = store.read(merged=True).withColumn("merged", F.lit(True)).unionAll(store.read(merged=False).withColumn("merged", F.lit(False)))
+    return rows.select(
+        "doc_id", F.lit(last["version"]).alias("version"), "merged",
         F.octet_length("text").cast("long").alias("n_bytes"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))

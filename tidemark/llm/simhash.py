@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import doc_ids, documents, power_bounds, with_null_ids, with_range_bucket, written
 
 BITS = 64
-#: Code points up to which a longer term votes with more weight.
-MOST_WEIGHT = 16
 #: Rows in a range of doc_ids that is sorted at once.
 BUCKET_ROWS = 2048
 LANES = 0x0000000100000001
@@ -27,8 +25,8 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     """keys and ``fp`` (bigint): each pair of neighbouring terms votes on 64 bits with the weight of its length.
 
     A bit is set if more than half of the weight voted for it. The ones of
-    bits i and i + 32 are summed in two halves of one bigint, so 32 sums do for 64 bits; a half
-    overflows at 2^32 / 16 terms of a document. Equal texts have equal
+    bits i and i + 32 are summed in two halves of one bigint, so 32 sums do for 64 bits; all weights
+    of a text come to at most twice its length, and Spark's limit of 2 GB for a text keeps that below 2^32. Equal texts have equal
     fingerprints. ``keys`` must name the rows; a null text counts as empty.
     """
     words = texts.select(*keys, terms_of(F.coalesce(F.col(text), F.lit(""))).alias("_terms"))
@@ -36,7 +34,7 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     after = F.get("_terms", F.col("_i") + 1)
     votes = pairs.select(
         *keys, F.xxhash64("_term", after).alias("_h"),
-        F.least(F.length("_term") + F.coalesce(F.length(after), F.lit(0)), F.lit(MOST_WEIGHT)).cast("long").alias("_n"),
+        (F.length("_term") + F.coalesce(F.length(after), F.lit(0))).cast("long").alias("_n"),
     ).withColumn("_w", F.greatest(F.col("_n"), F.lit(1).cast("long")))
     half = F.lit(LANES).cast("long")
     sums = votes.groupBy(*keys).agg(

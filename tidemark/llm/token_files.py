@@ -36,6 +36,8 @@ from tidemark.llm.common import doc_ids, documents, new_folder, with_null_ids, w
 INDEX_MAGIC, TABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A51, 0x184D2A5E, 0x8F92EAB1
 #: Ids after which a frame ends; a longer document has a frame for itself.
 FRAME_IDS = 65_536
+#: Documents of a file, about; more shuffle partitions make smaller files.
+FILE_DOCS = 100_000
 INDEX = np.dtype([("first_doc", "<i8"), ("n_docs", "<i8"), ("first_id", "<i8")])
 TABLE = np.dtype([("packed", "<u4"), ("plain", "<u4"), ("checksum", "<u4")])
 
@@ -62,6 +64,8 @@ class Writer:
         plain = b"".join([
             struct.pack("<Q", len(self.docs)), np.array(self.docs, "<i8").tobytes(), np.array([len(x) for x in self.waiting], "<u4").tobytes(),
             *[np.ascontiguousarray(x, "<u4").tobytes() for x in self.waiting]])
+        if len(plain) >= 1 << 32:
+            raise ValueError("a frame of 4 GiB or more does not fit the seek table")
         packed = self.packer.compress(plain)
         self.out.write(packed)
         self.table.append((len(packed), len(plain), xxhash.xxh64_intdigest(plain) & 0xFFFFFFFF))
@@ -132,17 +136,20 @@ def open_file(uri: str):
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", end_id: int = 1, text: str = "text",
-                      frame_ids: int = FRAME_IDS) -> DataFrame:
+                      frame_ids: int = FRAME_IDS, file_docs: int = FILE_DOCS) -> DataFrame:
     """Encode ``docs`` into token files under ``folder``, a URI that all executors reach.
 
     Returns the manifest, one row for each file: path, first_doc, n_docs, n_ids,
-    start (ids in files before it). Documents ascend by doc_id (ties by text) through the files; Spark's range
-    partitioning makes a file of each partition. A null text is empty. A task
+    start (ids in files before it). Documents ascend by doc_id through the files (of one doc_id by a hash of the text, so that a doc_id, or
+    null, that many rows share is spread over files too); Spark's range
+    partitioning makes a file of each partition, with about ``file_docs`` documents at most. A null text is empty; a text of any
+    length has a frame of its own, in which Spark's limit of 2 GB for a text leaves room. A task
     writes under a name of its own and renames when done, so a task that runs
     twice leaves one whole file.
     """
-    whole = docs.select(doc_ids(), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ordered = whole.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    whole = docs.select(doc_ids(), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // file_docs))
+    ordered = whole.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, end, writer, first, n = encoder(tokenizer), np.array([end_id], "<u4"), None, None, 0
