@@ -3,7 +3,9 @@
 import re
 from collections import Counter, defaultdict
 
-from tidemark.llm import quality
+import duckdb
+
+from tidemark.llm import oracles, quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string"
@@ -53,6 +55,12 @@ def test_whole_table(spark, sf_dir):
         assert (r.removed_words, r.kept, r.clean_text) == verdict, i
 
 
+def test_whole_table_equals_its_sql(spark, sf_dir):
+    rows = duckdb.sql(oracles.QUALITY.replace("from documents", f"from '{sf_dir}/documents.parquet'"))
+    got = quality.op1_quality(spark, sf_dir).select(*rows.columns).collect()
+    assert sorted(map(tuple, got)) == sorted(rows.fetchall())
+
+
 def test_shared_line_removed_and_depleted_rejected(spark):
     line = "subscribe to our letter now and share this page with all of your good friends"
     name = lambda i: "abc"[i // 10] + "klmnopqrst"[i % 10]  # noqa: E731  digits are all alike in normalised lines

@@ -105,7 +105,8 @@ def quality_rules(
     """
     added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "removed_words", "kept", "clean_text")
     names = [c for c in docs.columns if c not in added]
-    row = docs.select(F.struct(*names).alias("row"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(host).cast("string"), F.lit("\u0000"))).alias("host"))
+    rest = F.struct(*[F.col(c) for c in names if c != text], F.lit(0).alias("-"))  # the text itself goes along once only
+    row = docs.select(rest.alias("row"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(host).cast("string"), F.lit("\u0000"))).alias("host"))
     whole = F.coalesce(F.col("text"), F.lit(""))
     key = [F.xxhash64(F.lit(k), "host", whole).alias(f"k{k}") for k in (1, 2)]
     hashed = written(
@@ -134,7 +135,7 @@ def quality_rules(
         .withColumn("removed_words", F.when(F.col("gone").isNull(), F.lit(0)).otherwise(removed).cast("long"))
         .withColumn("kept", F.when(F.col("base_failed"), False).otherwise(~depleted))
         .withColumn("clean_text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(others, "\n")))
-        .select(*[F.col("row")[c].alias(c) for c in names], *added)
+        .select(*[F.col("text" if c == text else f"row.`{c}`").alias(c) for c in names], *added)
     )
 
 

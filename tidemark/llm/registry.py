@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.minhash import op9_minhash
 from tidemark.llm.mixing import op7_mixing
+from tidemark.llm.oracles import QUALITY
 from tidemark.llm.packing import op5_packing
 from tidemark.llm.pii import op10_pii
 from tidemark.llm.quality import op1_quality
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_quality": QUALITY}
