@@ -14,13 +14,15 @@ from tidemark.llm.common import documents, written
 
 
 def _apart(docs: DataFrame) -> DataFrame:
-    """doc_id, text and source, and the whole row as ``_row``: so no other column clashes with those that an operator adds."""
-    return docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_row"))
+    """doc_id, text and source, and the other columns in ``_rest``: so none of them clashes with those that an operator adds."""
+    rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "text", "source")]
+    return docs.select("doc_id", "text", "source", F.struct(*rest, F.lit(0).alias("-")).alias("_rest"))
 
 
 def _rows(df: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """The columns of ``docs`` again, with ``text`` as their text."""
-    return df.select(*[F.col(text).alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
+    at = {"doc_id": "doc_id", "source": "source", "text": text}
+    return df.select(*[F.col(at.get(c, f"_rest.`{c}`")).alias(c) for c in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
