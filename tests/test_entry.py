@@ -5,6 +5,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 import __spark_entry__
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -15,10 +17,11 @@ def test_entry_and_names(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-def test_rest_imports_without_llm(tmp_path):
+@pytest.mark.parametrize("gone", [("llm",), ("llm", "corpus_pipeline.py")])
+def test_rest_imports_without_llm(tmp_path, gone):
     copy = tmp_path / "repo"
-    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
-    code = "import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries(), any(n.startswith('op') and n[2].isdigit() for n in e.queries()))"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", *gone))
+    code = "import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries(), any(n.startswith('op') and n[2].isdigit() for n in e.queries()), len(e.oracle_sql()))"
     out = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
-    n, pipeline, ops = out.stdout.split()
-    assert int(n) > 90 and pipeline == "False" and ops == "False", out.stderr
+    n, pipeline, ops, sql = out.stdout.split()
+    assert int(n) == int(sql) > 90 and pipeline == "False" and ops == "False", out.stderr
