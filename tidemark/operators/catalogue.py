@@ -57,8 +57,8 @@ def keyset_page(df: DataFrame, cursor: tuple[str, str] | None, limit: int, date:
     return df.orderBy(date, key).limit(max(1, min(limit, 100)) + 1)
 
 
-def page_index(df: DataFrame, page_size: int, provider: str = "provider", date: str = "begin_date", key: str = "cruise_id") -> DataFrame:
-    """Pages of each provider: number, rows, and the cursor that leads to the next page (null on the last).
+def with_pages(df: DataFrame, page_size: int, provider: str = "provider", date: str = "begin_date", key: str = "cruise_id") -> DataFrame:
+    """``df`` with each row's ``page`` of its provider, in the order of date and key.
 
     Page numbers come from two steps: rows per (provider, date) are
     summed first, so a window runs over dates, not over all tours; ranks
@@ -68,14 +68,29 @@ def page_index(df: DataFrame, page_size: int, provider: str = "provider", date:
     before = F.sum("_n").over(Window.partitionBy(provider).orderBy(date).rowsBetween(Window.unboundedPreceding, -1))
     days = days.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
     rank = F.row_number().over(Window.partitionBy(provider, date).orderBy(key))
-    placed = df.select(provider, date, key, rank.alias("_rank")).join(days, [provider, date])
-    paged = placed.withColumn("page", F.floor((F.col("_before") + F.col("_rank") - 1) / page_size).cast("long"))
-    pages = paged.groupBy(provider, "page").agg(F.count("*").alias("rows"), F.max(F.struct(date, key)).alias("_last"))
+    placed = df.withColumn("_rank", rank).join(days, [provider, date])
+    return placed.withColumn("page", F.floor((F.col("_before") + F.col("_rank") - 1) / page_size).cast("long")).drop("_rank", "_before")
+
+
+def page_index(df: DataFrame, page_size: int, provider: str = "provider", date: str = "begin_date", key: str = "cruise_id") -> DataFrame:
+    """Pages of each provider: number, rows, and the cursor that leads to the next page (null on the last)."""
+    pages = with_pages(df.select(provider, date, key), page_size, provider, date, key).groupBy(provider, "page").agg(F.count("*").alias("rows"), F.max(F.struct(date, key)).alias("_last"))
     total = pages.groupBy(provider).agg(F.max("page").alias("_top"))
     return pages.join(total, provider).select(
         provider, "page", "rows", F.when(F.col("page") < F.col("_top"), encode_cursor(F.col(f"_last.{date}"), F.col(f"_last.{key}"))).alias("next_cursor"))
 
 
+def page_documents(items: DataFrame, item: Column, page_size: int, provider: str = "provider", date: str = "begin_date", key: str = "cruise_id") -> DataFrame:
+    """provider, page and body: each page as a JSON document, its items in order; ``next_cursor`` is left out on the last page, other nulls are kept."""
+    rows = with_pages(items.withColumn("_item", page_json(item)), page_size, provider, date, key)
+    pages = rows.groupBy(provider, "page").agg(F.sort_array(F.collect_list(F.struct(date, key, "_item"))).alias("_items"))
+    top = pages.groupBy(provider).agg(F.max("page").alias("_top"))
+    last = F.element_at("_items", -1)
+    more = F.when(F.col("page") < F.col("_top"), F.concat(F.lit(',"next_cursor":"'), encode_cursor(last[date], last[key]), F.lit('"'))).otherwise("")
+    body = F.concat(F.lit('{"items":['), F.array_join(F.transform("_items", lambda x: x["_item"]), ","), F.lit("]"), more, F.lit("}"))
+    return pages.join(top, provider).select(provider, "page", body.alias("body"))
+
+
 def class_prices(prices: DataFrame, classes: DataFrame) -> DataFrame:
     """Open prices with their class's attributes; a missing name is ''."""
     return prices.join(classes.select("provider", "class_id", F.col("name").alias("class_name"), "base_seats"), ["provider", "class_id"], "left").withColumn(
@@ -97,17 +112,30 @@ def detail(tours: DataFrame, objects: DataFrame, priced: DataFrame, roomed: Data
     (partial_buyout, base_price). Offers are never room prices.
     """
     price = F.struct("base_price", "partial_buyout", "class_id", "class_name", "child_price", "extra_seat", "currency")
-    prices = priced.groupBy("provider", "cruise_id").agg(F.sort_array(F.collect_list(price)).alias("prices"))
-    of_class = priced.groupBy("provider", "cruise_id", "class_id").agg(
-        F.sort_array(F.collect_list(F.struct("partial_buyout", "base_price", "child_price", "extra_seat", "currency"))).alias("class_prices"))
-    room = F.struct("number", "room_id", "class_id", "class_name", "stage_name", "available", F.coalesce("class_prices", F.array().cast("array<struct<partial_buyout:boolean,base_price:decimal(12,2),child_price:decimal(12,2),extra_seat:decimal(12,2),currency:string>>")).alias("prices"))
-    rooms = roomed.join(of_class, ["provider", "cruise_id", "class_id"], "left").groupBy("provider", "cruise_id").agg(F.sort_array(F.collect_list(room)).alias("rooms"))
-    keys = ["provider", "cruise_id"]
-    return (
+    keys, empty = ["provider", "cruise_id"], "array<struct<base_price:decimal(12,2),partial_buyout:boolean,class_id:string,class_name:string,child_price:decimal(12,2),extra_seat:decimal(12,2),currency:string>>"
+    # A cruise's prices are gathered once; its rooms pick theirs from that list.
+    prices = priced.groupBy(*keys).agg(F.sort_array(F.collect_list(price)).alias("prices"))
+    rooms = roomed.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("number", "room_id", "class_id", "class_name", "stage_name", "available"))).alias("rooms"))
+    both = (
         tours.join(objects.select("provider", "object_id", F.col("name").alias("ship_name")), ["provider", "object_id"], "left")
-        .join(prices, keys, "left").join(rooms, keys, "left"))
+        .join(prices, keys, "left").join(rooms, keys, "left").withColumn("prices", F.coalesce("prices", F.array().cast(empty))))
+    own = lambda r: F.sort_array(F.transform(F.filter("prices", lambda p: p["class_id"] == r["class_id"]), lambda p: F.struct(
+        *[p[c].alias(c) for c in ("partial_buyout", "base_price", "child_price", "extra_seat", "currency")])))
+    listed = F.transform("rooms", lambda r: F.struct(*[r[c].alias(c) for c in ("number", "room_id", "class_id", "class_name", "stage_name", "available")], own(r).alias("prices")))
+    return both.withColumn("rooms", F.coalesce(listed, F.array().cast("array<struct<number:string,room_id:string,class_id:string,class_name:string,stage_name:string,available:boolean,prices:array<struct<partial_buyout:boolean,base_price:decimal(12,2),child_price:decimal(12,2),extra_seat:decimal(12,2),currency:string>>>>")))
 
 
 def page_json(items: Column) -> Column:
     """JSON of a list item: dates and decimals as strings, nulls kept."""
     return F.to_json(items, {"ignoreNullFields": "false"})
+
+
+def detail_document(prices: str = "prices", rooms: str = "rooms") -> Column:
+    """A row of ``detail`` as a JSON document: dates and decimals as strings, nulls kept."""
+    text = lambda x, *names: [x[n].cast("string").alias(n) for n in names]
+    price = lambda p: F.struct(p["class_id"].alias("class_id"), p["class_name"].alias("class_name"), p["partial_buyout"].alias("partial_buyout"), *text(p, "base_price", "child_price", "extra_seat", "currency"))
+    own = lambda p: F.struct(p["partial_buyout"].alias("partial_buyout"), *text(p, "base_price", "child_price", "extra_seat", "currency"))
+    room = lambda r: F.struct(*[r[n].alias(n) for n in ("room_id", "number", "class_name", "stage_name", "available")], F.transform(r["prices"], own).alias("prices"))
+    return page_json(F.struct(
+        "cruise_id", F.date_format("begin_date", "yyyy-MM-dd").alias("begin_date"), F.date_format("end_date", "yyyy-MM-dd").alias("end_date"), "ship_name",
+        F.transform(prices, price).alias("prices"), F.transform(rooms, room).alias("rooms")))

@@ -161,13 +161,36 @@ def detail(spark, sf_dir):
         F.array_join(F.transform("rooms", lambda r: F.concat_ws("/", r["number"], r["available"].cast("string"), text(r["stage_name"]), F.size(r["prices"]).cast("string"))), ";").alias("rooms"))
 
 
-@query("detail_json", with_roles("tours objects", """select t.cruise_id, '{"cruise_id":"' || t.cruise_id || '","begin_date":"' || strftime(t.begin_date, '%Y-%m-%d') || '","ship_name":' || coalesce('"' || o.name || '"', 'null') || '}' as head
-    from tours t left join objects o on o.object_id = t.object_id"""))
+def _quoted(x):
+    return f"coalesce('\"' || cast({x} as varchar) || '\"', 'null')"
+
+
+AMOUNTS = f"""',"base_price":' || {_quoted('p.base_price')} || ',"child_price":' || {_quoted('p.child_price')} || ',"extra_seat":' || {_quoted('p.extra_seat')} || ',"currency":"' || p.currency || '"}}'"""
+DOCUMENT = f""", priced as (select p.*, '{{"class_id":"' || p.class_id || '","class_name":"' || coalesce(k.name, '') || '","partial_buyout":' || p.partial_buyout || {AMOUNTS} as full_json, '{{"partial_buyout":' || p.partial_buyout || {AMOUNTS} as own_json
+        from prices p left join classes k on k.class_id = p.class_id),
+    listed as (select cruise_id, string_agg(full_json, ',' order by base_price, partial_buyout, class_id) as prices from priced group by cruise_id),
+    of_class as (select cruise_id, class_id, string_agg(own_json, ',' order by partial_buyout, base_price) as prices from priced group by cruise_id, class_id),
+    roomed as (select a.cruise_id, string_agg('{{"room_id":"' || a.room_id || '","number":"' || a.number || '","class_name":' || {_quoted('a.class_name')} || ',"stage_name":' || {_quoted('a.stage_name')} || ',"available":' || a.available
+        || ',"prices":[' || coalesce(q.prices, '') || ']}}', ',' order by a.number, a.room_id) as rooms from ({ROOMS}) a left join of_class q on q.cruise_id = a.cruise_id and q.class_id = a.class_id group by a.cruise_id)
+    select t.cruise_id, '{{"cruise_id":"' || t.cruise_id || '","begin_date":"' || strftime(t.begin_date, '%Y-%m-%d') || '","end_date":"' || strftime(t.end_date, '%Y-%m-%d') || '","ship_name":' || {_quoted('o.name')}
+        || ',"prices":[' || coalesce(l.prices, '') || '],"rooms":[' || coalesce(r.rooms, '') || ']}}' as body
+    from tours t left join objects o on o.object_id = t.object_id left join listed l on l.cruise_id = t.cruise_id left join roomed r on r.cruise_id = t.cruise_id"""
+
+
+@query("detail_json", with_roles("tours objects prices classes availability rooms stages", DOCUMENT))
 def detail_json(spark, sf_dir):
-    """The head of each detail document; the whole document is K-6 and tested on fixtures."""
-    d = _detail(spark, sf_dir).select(F.struct("cruise_id", F.date_format("begin_date", "yyyy-MM-dd").alias("begin_date"), "ship_name", "prices", "rooms").alias("d"))
-    body = c.page_json(F.col("d"))
-    return d.select(F.col("d.cruise_id").alias("cruise_id"), F.concat(F.regexp_extract(body, '^(.*?),"prices":', 1), F.lit("}")).alias("head"))
+    """Each detail as a whole document."""
+    return _detail(spark, sf_dir).select("cruise_id", c.detail_document().alias("body"))
+
+
+@query("list_pages_json", with_roles(LIST_ROLES, f""", items as ({ITEMS}), placed as (select *, (row_number() over (order by begin_date, cruise_id) - 1) // 100 as page from items),
+    pages as (select page, string_agg({ITEM_JSON}, ',' order by begin_date, cruise_id) as items, arg_max(strftime(begin_date, '%Y-%m-%d') || '|' || cruise_id, (begin_date, cruise_id)) as last from placed group by page)
+    select cast(page as bigint) as page, '{{"items":[' || items || ']' || case when page < (select max(page) from pages) then ',"next_cursor":"' || lower(hex(encode(last))) || '"' else '' end || '}}' as body from pages"""))
+def list_pages_json(spark, sf_dir):
+    """Every page of the list as a document with its cursor."""
+    items = _items(spark, sf_dir).withColumn("provider", F.lit("1"))
+    item = F.struct("cruise_id", F.date_format("begin_date", "yyyy-MM-dd").alias("begin_date"), "ship_name", F.col("minimal_price").cast("string").alias("minimal_price"), "room_counts")
+    return c.page_documents(items, item, 100).select("page", "body")
 
 
 @query("orphan_classes", "select cast(s_suppkey as string) as class_id, s_name as name from supplier where s_suppkey not in (select c_custkey from customer where c_acctbal >= 0)")
