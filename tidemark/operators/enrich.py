@@ -13,6 +13,20 @@ from tidemark.functions.columns import strict_bool, strict_int
 CONFIG = "value string, template string, plus int"
 KINDS = ("constant", "config_lookup", "template", "days_between")
 
+#: Rows that a new installation starts with (fixed values of the data model): rules as id, provider, field, kind, config, priority, active; and cruise types.
+DEFAULT_RULES = [
+    (1, None, "site_name", "template", {"template": "{name} Название для сайта"}, 100, True),
+    (2, None, "site_cruise_object_id", "constant", {"value": "1"}, 100, True),
+    (3, None, "route", "template", {"template": "Маршрут круиза {cruise_id}"}, 100, True),
+    (4, None, "city_from", "constant", {"value": "Пермь"}, 100, True),
+    (5, None, "city_to", "constant", {"value": "Пермь"}, 100, True),
+    (6, None, "departure_city", "constant", {"value": "Астрахань"}, 100, True),
+    (7, None, "days", "days_between", {"plus": 1}, 100, True),
+    (8, None, "is_return", "constant", {"value": "true"}, 100, True),
+    (9, None, "is_weekend", "constant", {"value": "false"}, 100, True),
+]
+CRUISE_TYPES = [(1, "речной круиз")]
+
 
 @dataclass(frozen=True)
 class Rule:

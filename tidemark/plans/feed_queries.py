@@ -168,27 +168,14 @@ _canon("canon_sales", lambda s, d: canonical.sales(_raw(s, d, "spos")), ["extern
 _canon("canon_availability", lambda s, d: canonical.availability(_raw(s, d, "free")), ["external_cruise_id", "external_room_id", "available"], f"select cruise_id as external_cruise_id, cabin_id as external_room_id, true as available from ({FREE})")
 
 
-# Enrichment. The seeded rules are fixed values of the data model.
-SEEDED = [
-    (1, None, "site_name", "template", {"template": "{name} Название для сайта"}, 100, True),
-    (2, None, "site_cruise_object_id", "constant", {"value": "1"}, 100, True),
-    (3, None, "route", "template", {"template": "Маршрут круиза {cruise_id}"}, 100, True),
-    (4, None, "city_from", "constant", {"value": "Пермь"}, 100, True),
-    (5, None, "city_to", "constant", {"value": "Пермь"}, 100, True),
-    (6, None, "departure_city", "constant", {"value": "Астрахань"}, 100, True),
-    (7, None, "days", "days_between", {"plus": 1}, 100, True),
-    (8, None, "is_return", "constant", {"value": "true"}, 100, True),
-    (9, None, "is_weekend", "constant", {"value": "false"}, 100, True),
-]
-
-
+# Enrichment.
 def _tours(spark, sf_dir):
     return role(spark, sf_dir, "tours").select("cruise_id", F.col("city").alias("name"), "begin_date", F.date_add("begin_date", 4).alias("end_date"))
 
 
 @query("enrich", with_roles("tours", "select cruise_id, city || ' Название для сайта' as site_name, '1' as site_cruise_object_id, 'Маршрут круиза ' || cruise_id as route, 'Пермь' as city_from, 'Астрахань' as departure_city, 5 as days, true as is_return, false as is_weekend from tours"))
 def enriched(spark, sf_dir):
-    rules = enrich.compiled(enrich.load_rules(enrich.rules_frame(spark, SEEDED), "1"))
+    rules = enrich.compiled(enrich.load_rules(enrich.rules_frame(spark, enrich.DEFAULT_RULES), "1"))
     return enrich.typed(enrich.enrich(_tours(spark, sf_dir), rules)).select("cruise_id", "site_name", "site_cruise_object_id", "route", "city_from", "departure_city", "days", "is_return", "is_weekend")
 
 
