@@ -88,6 +88,33 @@ def check_pieces(rows, texts, lib, size=2048):
     return sum(r.length for r in rows), len(by_window)
 
 
+def test_items_go_where_they_fit_best():
+    """Windows closed by the bounded-space packer against a scan of all open windows for each item."""
+    rnd = random.Random(4)
+    for n_open in (1, 2, 5, 64):
+        ours, plain, made = packing.OpenWindows(100, n_open), [], 0
+        for k in range(3000):
+            n, closed = rnd.randrange(1, 101), []
+            fits = [w for w in plain if w[0] >= n]
+            if fits:
+                best = min(fits, key=lambda w: (w[0], w[1]))
+            else:
+                if len(plain) >= n_open:
+                    fullest = min(plain, key=lambda w: (w[0], w[1]))
+                    plain.remove(fullest)
+                    closed.append(fullest[2])
+                made += 1
+                best = [100, made, []]
+                plain.append(best)
+            best[0] -= n
+            best[2].append([n, k])
+            if best[0] == 0:
+                plain.remove(best)
+                closed.append(best[2])
+            assert ours.add([n, k]) == closed
+        assert sorted(ours.rest()) == sorted(w[2] for w in plain)
+
+
 def test_packing(spark, sf_dir):
     lib = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
     docs = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())

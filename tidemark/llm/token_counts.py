@@ -51,8 +51,8 @@ def token_counts(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", text: st
     def counted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         if run not in _workers:  # a worker that is used again keeps its cache
             _workers.clear()
-            names, lengths = table.value
-            _workers[run] = Encoder(tokenizer, dict(zip(names.split("\n"), lengths)))
+            known, lengths = table.value
+            _workers[run] = Encoder(tokenizer, dict(zip(known.split("\n"), lengths)))
         for series in texts:
             yield pd.Series([_workers[run].count(t) for t in series], dtype="int64")
 
