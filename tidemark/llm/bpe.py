@@ -1,6 +1,8 @@
-"""Token ids by the tokenizers library, each distinct part of a text worked out once for a worker.
+"""Token ids and counts of the dealt vocabularies, equal to the tokenizers library.
 
-No pre-token of these vocabularies spans a change from other characters to white space, so a text may be cut
+Ids of plain texts come from rank tables that are read from the library's own file, since the library takes more than the
+CPU time at hand; merging the pair of lowest rank first gives the same ids where ranks follow the order of merges, which is checked. All other
+texts, and all counts, go part by part. No pre-token of these vocabularies spans a change from other characters to white space, so a text may be cut
 there, and the ids of its parts follow each other. A part that was met before is looked up. A new one goes through
 the library: its normalizer and pre-tokenizer cut it into pre-tokens, its BPE model encodes each. Only for
 printable ASCII, where both come down to lower case and one fixed expression, is the cut made here.
@@ -9,6 +11,7 @@ printable ASCII, where both come down to lower case and one fixed expression, is
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from itertools import chain
@@ -27,6 +30,34 @@ SPELLED = {9: "ĉ", 10: "Ċ", 13: "č", 32: "Ġ"}
 CACHE, LONGEST = 200_000, 48
 
 
+#: Texts of these characters take rank tables: their white space, case and normal form need no rules of their own.
+PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ«»„“”‘’…–—]*").fullmatch
+#: Pre-tokens of plain texts, with word ends and byte-level (fixed by the files and the library's pre-tokenizer).
+PLAIN_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN_BYTES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Marks the end of a word in rank tables; no plain text has it.
+END = "\x00"
+
+
+def rank_table(path: str) -> dict[bytes, int] | None:
+    """Bytes of each token, ``</w>`` as ``END``, with its id; None if ids do not follow the order of merges."""
+    with open(path, encoding="utf-8") as f:
+        whole = json.load(f)
+    vocab, special = whole["model"]["vocab"], {t["content"] for t in whole["added_tokens"]}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in whole["model"]["merges"]]
+    ids = [vocab[a + b] for a, b in merges]
+    if ids != sorted(ids) or len(set(ids)) != len(ids):
+        return None
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # these bytes are spelled as themselves, the others from 256 on
+    of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
+
+    def spelled(token: str) -> bytes:
+        word = token.removesuffix("</w>")
+        return bytes(of[c] for c in word) + (END.encode() if word != token else b"")
+
+    return {spelled(t): i for t, i in vocab.items() if t not in special}
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -50,6 +81,7 @@ class Encoder:
         self.drops = self.normalizer is not None
         self.parts = re.compile(f"[^{WHITE}]+" if self.drops else f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
         self.split = re.compile(WORDS if self.drops else BYTES).findall
+        self._name = name
         self.of_part, self.of_token = _Cache(self.part_ids), _Cache(lambda p: [t.id for t in self.model.tokenize(p)])
         self.counts, self.lengths = _Cache(self.part_count), _Cache(lambda p: len(self.model.tokenize(p)), known)
 
@@ -72,7 +104,23 @@ class Encoder:
             return len(self.whole(part))
         return sum(map(self.lengths.__getitem__, self.pre_tokens(part)))
 
+    @functools.cached_property
+    def by_rank(self):
+        """Ids of a plain text by the rank table, or None where there is none."""
+        import regex
+        import tiktoken
+
+        ranks = rank_table(tokenizer_path(self._name))
+        if not ranks:
+            return None
+        pattern = rf"(?:{PLAIN_WORDS.replace(r'[^\s', r'[^\x00\s')})\x00" if self.drops else PLAIN_BYTES
+        encode = tiktoken.Encoding(self._name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        words = regex.compile(PLAIN_WORDS).findall
+        return (lambda text: encode("".join([w + END for w in words(text.lower())]))) if self.drops else encode
+
     def ids(self, text: str) -> np.ndarray:
+        if PLAIN(text) and self.by_rank and not any(s in text for s in self.special):
+            return np.array(self.by_rank(text), "<u4")
         return np.fromiter(chain.from_iterable(map(self.of_part.__getitem__, self.parts(text))), "<u4")
 
     def count(self, text: str) -> int:
