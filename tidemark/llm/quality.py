@@ -105,7 +105,8 @@ def quality_rules(
     """
     added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "removed_words", "kept", "clean_text")
     names = [c for c in docs.columns if c not in added]
-    rest = F.struct(*[F.col(c) for c in names if c != text], F.lit(0).alias("-"))  # the text itself goes along once only
+    # The text itself goes along once only; a filler whose name is longer than any other keeps the struct from being empty.
+    rest = F.struct(*[F.col(c) for c in names if c != text], F.lit(0).alias("".join(names) + "_"))
     row = docs.select(rest.alias("row"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(host).cast("string"), F.lit("\u0000"))).alias("host"))
     whole = F.coalesce(F.col("text"), F.lit(""))
     key = [F.xxhash64(F.lit(k), "host", whole).alias(f"k{k}") for k in (1, 2)]
