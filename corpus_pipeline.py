@@ -16,7 +16,8 @@ from tidemark.llm.common import documents, written
 def _apart(docs: DataFrame) -> DataFrame:
     """doc_id, text and source, and the other columns in ``_rest``: so none of them clashes with those that an operator adds."""
     rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "text", "source")]
-    return docs.select("doc_id", "text", "source", F.struct(*rest, F.lit(0).alias("-")).alias("_rest"))
+    filler = F.lit(0).alias("".join(docs.columns) + "_")  # longer than any name; a struct must not be empty
+    return docs.select("doc_id", "text", "source", F.struct(*rest, filler).alias("_rest"))
 
 
 def _rows(df: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
