@@ -187,3 +187,12 @@ def test_components(spark):
         parent[y] = x
     got = dict(map(tuple, minhash.components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {n: find(n) for a, b in links if a != b for n in (a, b)}
+
+
+def test_only_copies_in_a_task(spark):
+    """Chunks of a task in which every row is a copy, or has no words or no doc_id."""
+    rows = [(i, "one two three four five six") for i in range(300)] + [(None, "one two three four five six"), (301, None), (302, "")]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    got = {tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {(i, 0) for i in range(300)} | {(None, None), (301, 301), (302, 302)}

@@ -93,7 +93,7 @@ def prob_minhash(docs: np.ndarray, elements: np.ndarray, weights: np.ndarray, n_
 def _packed(signature: np.ndarray) -> np.ndarray:
     """Two bits of each register: 32 registers in a bigint."""
     bits = np.stack([signature & np.uint64(1), (signature >> np.uint64(1)) & np.uint64(1)], axis=2).astype(np.uint8)
-    return np.packbits(bits.reshape(len(signature), -1), axis=1).view(np.int64)
+    return np.packbits(bits.reshape(len(signature), 2 * REGISTERS), axis=1).view(np.int64)
 
 
 def _word_hashes(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray]]]:
