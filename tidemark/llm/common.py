@@ -110,12 +110,12 @@ def power_bounds(ids: DataFrame, col: str, rows_per_bucket: int, most: int = 65_
     return list(row["b"] or [])
 
 
-def with_range_bucket(df: DataFrame, col: str, bounds: list[int], out: str = "bucket") -> DataFrame:
+def with_range_bucket(df: DataFrame, col: str, bounds: list, out: str = "bucket", kind: str = "bigint") -> DataFrame:
     """Add the index of the range that holds ``col``, by a binary search in unrolled steps."""
     df = df.withColumn(out, F.lit(0))
     if not bounds:
         return df
-    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast(f"array<{kind}>")
     step = (len(bounds) + 1) // 2
     while step:
         at = F.element_at(table, F.col(out) + step)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm.centroids import op13_centroids
+from tidemark.llm.exact_dedup import op12_exact_dedup
 from tidemark.llm.minhash import op9_minhash
 from tidemark.llm.mixing import op7_mixing
 from tidemark.llm.oracles import QUALITY
@@ -25,6 +27,8 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_minhash": op9_minhash,
     "op10_pii": op10_pii,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_quality": QUALITY}
