@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.centroids import op13_centroids
+from tidemark.llm.collocations import op11_collocations
 from tidemark.llm.exact_dedup import op12_exact_dedup
 from tidemark.llm.minhash import op9_minhash
 from tidemark.llm.mixing import op7_mixing
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_minhash": op9_minhash,
     "op10_pii": op10_pii,
+    "op11_collocations": op11_collocations,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_centroids": op13_centroids,
 }
