@@ -7,7 +7,7 @@ from tidemark.llm.collocations import op11_collocations
 from tidemark.llm.exact_dedup import op12_exact_dedup
 from tidemark.llm.minhash import op9_minhash
 from tidemark.llm.mixing import op7_mixing
-from tidemark.llm.oracles import QUALITY
+from tidemark.llm.oracles import CENTROIDS, COLLOCATIONS, EXACT, QUALITY
 from tidemark.llm.packing import op5_packing
 from tidemark.llm.pii import op10_pii
 from tidemark.llm.quality import op1_quality
@@ -33,4 +33,4 @@ QUERIES = {
     "op13_centroids": op13_centroids,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_quality": QUALITY}
+ORACLE_SQL: dict[str, str] = {"op1_quality": QUALITY, "op11_collocations": COLLOCATIONS, "op12_exact_dedup": EXACT, "op13_centroids": CENTROIDS}
