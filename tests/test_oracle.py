@@ -19,9 +19,8 @@ def duck(sf_dir):
 
 
 def plain(v):
-    if isinstance(v, float):
-        return f"{v:.9g}"
-    return "" if v is None else str(v)
+    """Type and value: a null is no empty string, a decimal no float; floats to nine digits, since sums differ in order."""
+    return (type(v).__name__, f"{v:.9g}" if isinstance(v, float) else repr(v))
 
 
 def rows(names, values):

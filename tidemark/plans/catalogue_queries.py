@@ -148,7 +148,7 @@ DETAIL = f""", priced as (select p.cruise_id, string_agg(cast(p.base_price as st
         from prices p left join classes k on k.class_id = p.class_id group by p.cruise_id),
     roomed as (select a.cruise_id, string_agg(a.number || '/' || a.available || '/' || coalesce(a.stage_name, '') || '/' || coalesce(q.n, 0), ';' order by a.number, a.room_id) as rooms from ({ROOMS}) a
         left join (select cruise_id, class_id, count(*) as n from prices group by cruise_id, class_id) q on q.cruise_id = a.cruise_id and q.class_id = a.class_id group by a.cruise_id)
-    select t.cruise_id, o.name as ship_name, p.prices, r.rooms from tours t left join objects o on o.object_id = t.object_id left join priced p on p.cruise_id = t.cruise_id left join roomed r on r.cruise_id = t.cruise_id"""
+    select t.cruise_id, o.name as ship_name, coalesce(p.prices, '') as prices, coalesce(r.rooms, '') as rooms from tours t left join objects o on o.object_id = t.object_id left join priced p on p.cruise_id = t.cruise_id left join roomed r on r.cruise_id = t.cruise_id"""
 
 
 @query("detail", with_roles("tours objects prices classes availability rooms stages", DETAIL))
