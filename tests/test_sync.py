@@ -1,5 +1,6 @@
 """Snapshots of a lake ferry line through the whole write path, as batches and as a stream."""
 
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 import pytest
@@ -109,31 +110,80 @@ def test_batches_in_order_with_bad_payloads_and_other_providers(spark, tmp_path)
     labels = {r.label: r.n for r in rows(store, "metrics", sync.METRICS) if r.run_id == first.run_id}
     assert labels == {
         "objects_upserted": 4, "stages_upserted": 2, "classes_upserted": 3, "rooms_upserted": 3, "tours_upserted": 3, "prices_created": 4, "prices_updated": 0, "prices_closed": 0,
-        "sales_created": 1, "sales_updated": 0, "sales_closed": 0, "availability_created": 3, "availability_updated": 0, "availability_closed": 0, "deactivated": 0}
+        "sales_created": 1, "sales_updated": 0, "sales_closed": 0, "availability_created": 3, "availability_updated": 0, "availability_closed": 0, "deactivated": 0,
+        "prices_repeated": 1, "sales_repeated": 0, "rejected": 3}
     assert (first.rows_written, first.rows_read) == (23, 23)
     second = next(r for r in ends.values() if r.provider == "lake" and str(r.at) == TIMES[1])
     labels = {r.label: r.n for r in rows(store, "metrics", sync.METRICS) if r.run_id == second.run_id}
     assert (labels["prices_created"], labels["prices_updated"], labels["prices_closed"], labels["availability_updated"], labels["availability_closed"], labels["deactivated"]) == (2, 2, 2, 2, 2, 4)
     assert second.rows_read - second.rows_written == 2 + 0 + 4
 
+    # What was left out, and why.
+    assert sorted((r.section, r.value, r.reason) for r in rows(store, "rejects", sync.REJECTS) if r.run_id == first.run_id) == [("classes", "", "short id"), ("classes", "77", "short id"), ("prices", "12,5", "no number")]
+
     # Seen before: skipped, and no table changes.
-    before = store.pointer()["tables"]
+    before = store.pointer("lake")["tables"]
     again = sync.sync_batch(store, batch.filter("provider = 'lake'"), RULES)
     assert [o for _, o in again["done"]] == [None, None]
-    after = store.pointer()["tables"]
+    after = store.pointer("lake")["tables"]
     assert all(before[n] == after[n] for n in before if n not in ("runs", "health"))
     assert sum(r.status == "skipped" for r in rows(store, "runs", sync.RUNS)) == 2
     with pytest.raises(Conflict):
-        store.commit({"version": store.pointer()["version"] - 1, "tables": {}}, {}, {})
+        store.commit(store.pointer("lake", back=1))
+
+
+def state(store, provider):
+    """All tables of a provider as sets of rows."""
+    return {
+        **{n: sorted(map(repr, table(store, n, provider).collect())) for n in sync.HISTORIES}, **{n: sorted(map(repr, dimension(store, n, provider).filter(f"provider = '{provider}'").collect())) for n in sync.DIMENSIONS}}
+
+
+def test_snapshots_in_any_order(spark, tmp_path):
+    """Late payloads give the tables of the right order, and providers' payloads of a round go together."""
+    days = {1: DAY1, 2: DAY2.replace('<cruise id="spring"><cabin id="H-1"/></cruise>', ""), 3: DAY3}  # day 2 lists no room
+    orders = {"right": (1, 2, 3), "back": (3, 2, 1), "mixed": (2, 3, 1)}
+    store = StateStore(spark, f"file://{tmp_path}/s")
+    for step in range(3):
+        result = sync.sync_batch(store, landed(spark, *[(p, TIMES[o[step] - 1], days[o[step]]) for p, o in orders.items()]), {p: RULES["lake"] for p in orders})
+        assert len(result["done"]) == 3 and not result["failed"]
+    want = {n: [r.replace("'right'", "'x'") for r in v] for n, v in state(store, "right").items()}
+    assert all(want.values())
+    for p in orders:
+        assert {n: [r.replace(f"'{p}'", "'x'") for r in v] for n, v in state(store, p).items()} == want, p
+        for name in sync.HISTORIES:
+            assert scd2.scd2_check(table(store, name, p), ["provider", *sync._names(sync.HISTORIES[name][0])]).isEmpty()
+
+
+def test_streams_of_two_providers_at_once(spark, tmp_path):
+    """Neither waits for the other nor loses a snapshot; two publishers of one provider try again until both are in."""
+    store = StateStore(spark, f"file://{tmp_path}/s")
+    work = [("lake", TIMES[0], DAY1), ("sea", TIMES[0], DAY1), ("lake", TIMES[1], DAY2), ("sea", TIMES[1], DAY2)]
+    with ThreadPoolExecutor(4) as pool:
+        results = list(pool.map(lambda w: sync.sync_batch(store, landed(spark, w), RULES), work))
+    assert all(len(r["done"]) == 1 and not r["failed"] for r in results)
+    assert rows(store, "errors", sync.ERRORS) == []
+    for p in ("lake", "sea"):
+        assert {str(r.observed_at) for r in rows(store, "ledger", sync.LEDGER) if r.provider == p} == set(TIMES[:2])
+    lake, sea = ({n: [r.replace(f"'{p}'", "'x'") for r in v] for n, v in state(store, p).items() if n != "tours"} for p in ("lake", "sea"))
+    assert lake == sea and len(lake["prices"]) == 6 and sum("valid_to=None" in r for r in lake["prices"]) == 2
+
+
+def test_payloads_of_one_instant(spark, tmp_path):
+    store = StateStore(spark, f"file://{tmp_path}/s")
+    for day in (DAY1, DAY2):
+        sync.sync_batch(store, landed(spark, ("lake", TIMES[0], day)))
+    assert sorted(str(r.at) for r in rows(store, "ledger", sync.LEDGER)) == [TIMES[0], TIMES[0] + ".000001"]
+    for name in sync.HISTORIES:
+        assert scd2.scd2_check(table(store, name), ["provider", *sync._names(sync.HISTORIES[name][0])]).isEmpty()
 
 
 def test_closed_parts_are_compacted(spark, tmp_path):
     store = StateStore(spark, f"file://{tmp_path}/s")
     schema = spark.createDataFrame([], "n int").schema
     for k in range(5):
-        store.append({"log": spark.createDataFrame([(k,)], schema)})
-    assert not store.compact("log", schema, fan_in=9) and store.compact("log", schema, fan_in=5)
-    assert len(store.pointer()["tables"]["log"]["closed"]) == 1 and sorted(r.n for r in store.read("log", schema).collect()) == list(range(5))
+        store.append("a/b", {"log": spark.createDataFrame([(k,)], schema)})
+    assert not store.compact("log", schema, "a/b", fan_in=9) and store.compact("log", schema, "a/b", fan_in=5)
+    assert store.providers() == ["a/b"] and len(store.pointer("a/b")["tables"]["log"]["closed"]) == 1 and sorted(r.n for r in store.read("log", schema).collect()) == list(range(5))
 
 
 def test_one_payload_landed_twice_is_one(spark):

@@ -91,6 +91,57 @@ def enrich(tours: DataFrame, rules: list[Rule], config: dict[str, str] | None =
     return tours.withColumns({f: F.coalesce(*c) if len(c) > 1 else c[0] for f, c in fields.items()})
 
 
+def rules_by_provider(rules: DataFrame, providers: DataFrame) -> DataFrame:
+    """provider and ``rules``: each provider's active rules and the global ones, by priority, then id; a small table."""
+    items = rules.filter(F.col("is_active") & F.col("rule_type").isin(*KINDS)).withColumn("c", F.from_json("rule_config", CONFIG, {"mode": "FAILFAST"})).select(
+        "provider", F.struct("priority", "id", "field_name", "rule_type", "c.value", "c.template", "c.plus").alias("rule"))
+    own = items.filter("provider is not null").groupBy("provider").agg(F.collect_list("rule").alias("own"))
+    # One row of global rules; the constant key makes each provider meet it.
+    shared = items.filter("provider is null").agg(F.collect_list("rule").alias("shared")).withColumn("_all", F.lit(True))
+    names = providers.select("provider").distinct().withColumn("_all", F.lit(True))
+    return names.join(F.broadcast(shared), "_all").join(own, "provider", "left").select(
+        "provider", F.sort_array(F.concat(F.coalesce("own", F.slice("shared", 1, 0)), "shared")).alias("rules"))
+
+
+def filled(template: Column, values: dict[str, Column]) -> Column:
+    """``template_column`` for a template that is a column itself."""
+    parts = F.regexp_extract_all(template, F.lit(r"\{[^}]*\}?|[^{]+"), F.lit(0))
+    name = lambda p: F.regexp_replace(p, r"^\{|\}$", "")
+
+    def part(p: Column) -> Column:
+        found = F.concat(F.lit("{"), name(p), F.lit("}"))
+        for k, v in values.items():
+            found = F.when(name(p) == k, F.coalesce(v, F.lit(""))).otherwise(found)
+        return F.when(p.startswith("{"), found).otherwise(p)
+
+    return F.array_join(F.transform(parts, part), "")
+
+
+def enrich_by_table(tours: DataFrame, rules: DataFrame, fields: list[str], config: DataFrame | None = None, name: str = "name", cruise_id: str = "cruise_id",
+                    begin: str = "begin_date", end: str = "end_date") -> DataFrame:
+    """``tours`` of many providers with a text column for each of ``fields``: the first value, not null, of their provider's ``rules_by_provider``.
+
+    Rules stay rows: one join by provider, and each tour works off its provider's list, so neither plan nor jobs grow with
+    rules or providers. ``config`` (provider, field, value) holds looked-up values. A provider without rules has nulls.
+    """
+    rules = F.broadcast(rules) if rules.count() <= 10_000 else rules
+    both = tours.join(rules.withColumnRenamed("rules", "_rules"), "provider", "left")
+    if config is not None:
+        known = config.groupBy("provider", "field").agg(F.max("value").alias("value")).groupBy("provider").agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("_config"))
+        both = both.join(F.broadcast(known) if known.count() <= 10_000 else known, "provider", "left")
+    else:
+        both = both.withColumn("_config", F.lit(None).cast("map<string,string>"))
+    value = lambda r: (
+        F.when(r["rule_type"] == "constant", r["value"])
+        .when(r["rule_type"] == "config_lookup", F.when(F.map_contains_key("_config", r["field_name"]), F.col("_config")[r["field_name"]]).otherwise(r["value"]))
+        .when(r["rule_type"] == "template", filled(r["template"], {"name": F.col(name), "cruise_id": F.col(cruise_id)}))
+        .otherwise((F.datediff(F.col(end), F.col(begin)) + F.coalesce(r["plus"], F.lit(0))).cast("string")))
+    made = F.filter(F.transform("_rules", lambda r: F.struct(r["field_name"].alias("field"), value(r).alias("value"))), lambda x: x["value"].isNotNull())
+    both = both.withColumn("_made", made)
+    first = lambda f: F.get(F.filter("_made", lambda x: x["field"] == f), F.lit(0))["value"]
+    return both.withColumns({f: first(f) for f in fields}).drop("_rules", "_config", "_made")
+
+
 def typed(enriched: DataFrame) -> DataFrame:
     """days as int, is_return and is_weekend as booleans; any other spelling is null."""
     have = set(enriched.columns)
