@@ -21,17 +21,15 @@ LONGEST = 4
 #: Share of the pieces that the sample takes.
 SAMPLE = 0.25
 #: Bytes of text that a worker splits at once.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Bits of a filter at least, at most, and for each proposed phrase.
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 16, 1 << 28, 16
-#: Rows that a worker returns at once.
-OUT_ROWS = 200_000
 #: Counts up to so many rows and bytes are broadcast.
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 16 << 20
 #: Parts into which a language's candidates are ranked first.
 SALT = 64
 
-COUNTS = "lang string, n int, phrase string, key long, c long"
+COUNTS = "lang string, n int, phrase string, c long"
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _WORD, _BLANK, _BREAK = 0, 1, 2
@@ -51,9 +49,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Filters:
-    """For phrases of one, two and three words: a bit array that holds all proposed ones, and by chance some others.
+    """For phrases of 1, 2, ... words: a bit array that holds the keys of all wanted ones, and by chance some others.
 
-    Whatever the arrays hold counts as proposed, so chance costs time, never results; their size is bounded, however many phrases there are.
+    Whatever the arrays hold counts as wanted, so chance costs time, never results; their size is bounded, however many phrases there are.
     """
 
     bits: list[np.ndarray]
@@ -62,7 +60,7 @@ class Filters:
         array = self.bits[n - 1]
         mask = np.uint64(8 * len(array) - 1)
         found = np.ones(len(key), bool)
-        for p in (key & mask, (key >> np.uint64(32)) & mask):
+        for p in ((key >> np.uint64(2)) & mask, (key >> np.uint64(32)) & mask):
             found &= (array[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
         return found
 
@@ -110,84 +108,97 @@ def _words(data: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray, np
     return words, row, (row[1:] == row[:-1]) & (piece[1:] == piece[:-1])
 
 
-def _encoded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids from 0 in place of values, and the value of each id."""
-    found = pa.array(values).dictionary_encode()
-    return found.indices.to_numpy(), found.dictionary.to_numpy()
-
-
 def _hashes(values: pa.Array) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(v) for v in values.to_pylist()), np.uint64, len(values))
 
 
-def _count_chunk(words: pa.Array, linked: np.ndarray, lang: np.ndarray, langs: pa.Array, new: Filters | None, old: Filters | None, levels: tuple[int, ...]) -> Iterator[pa.Table]:
-    """Counts of the phrases of a chunk; ids stand for whole words and phrases, so equal ids mean equal phrases."""
-    codes = words.dictionary_encode()
-    ids, pairs = _encoded(lang.astype(np.int64) * len(codes.dictionary) + codes.indices.to_numpy())
-    own_lang, own_word = pairs // len(codes.dictionary), pairs % len(codes.dictionary)
-    key = _mix(_hashes(codes.dictionary)[own_word] ^ _mix(_hashes(langs) + _GOLDEN)[own_lang])
-    texts = codes.dictionary.take(pa.array(own_word))
-
-    def table(n: int, own: np.ndarray, keys: np.ndarray, phrases: pa.Array, counts: np.ndarray) -> pa.Table:
-        return pa.table({
-            "lang": langs.take(pa.array(own)).cast(pa.string()), "n": pa.array(np.full(len(own), n, np.int32)), "phrase": phrases.cast(pa.string()),
-            "key": pa.array(keys.view(np.int64)), "c": pa.array(counts.astype(np.int64))})
-
-    if 1 in levels:
-        yield table(1, own_lang, key, texts, np.bincount(ids, minlength=len(pairs)))
-        all_, totals = _encoded(lang)
-        yield table(0, totals, np.zeros(len(totals), np.uint64), pa.array([b""] * len(totals), pa.binary()), np.bincount(all_, minlength=len(totals)))
-    # at: the first word of each run of n - 1 words; hashes of those runs; their exact ids; whether the old filters let them in.
-    at, keys, exact, told = np.arange(len(ids)), key[ids], ids.astype(np.int64), np.full(len(ids), old is not None)
-    for n in range(2, max(levels) + 1):
-        # Runs of n words whose first and last n - 1 words are runs of this list.
-        position = np.full(len(ids) + 1, -1)
-        position[at] = np.arange(len(at))
-        following = position[at + 1]
-        ok = following >= 0
-        ok[ok] = linked[at[ok] + n - 2]
-        wanted, known = ok.copy(), np.zeros(len(ok), bool)
-        next_ = following[ok]
-        has = new.has(n - 1, keys)
-        wanted[ok] = has[ok] & has[next_]
-        if old is not None:
-            had = told & old.has(n - 1, keys)
-            known[ok] = had[ok] & had[next_]
-        counted, told = ~known[wanted], known[wanted]
-        at, before, prefix = at[wanted], keys[wanted], exact[wanted]
-        last = ids[at + n - 1]
-        keys = _mix(before * np.uint64(3) + key[last] + np.uint64(n))
-        exact, values = _encoded(prefix << 32 | last)
-        exact = exact.astype(np.int64)
+def _runs(words: pa.DictionaryArray, linked: np.ndarray, lang: np.ndarray, langs: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For n = 1, 2, ...: the first words of all runs of n words in a piece, and their keys: 62 bits of a hash with the language, and n - 1."""
+    one = _mix(_hashes(words.dictionary)[words.indices.to_numpy()] ^ langs[lang])
+    at, key = np.arange(len(one)), one
+    for n in range(1, LONGEST + 1):
+        if n > 1:
+            on = at < len(one) - n + 1
+            on[on] = linked[at[on] + n - 2]
+            at = at[on]
+            key = _mix(key[on] * np.uint64(3) + one[at + n - 1] + np.uint64(n))
+        key = key & ~np.uint64(3) | np.uint64(n - 1)
+        yield n, at, key
+
+
+def _candidates(words: pa.DictionaryArray, linked: np.ndarray, lang: np.ndarray, langs: np.ndarray, new: Filters | None, old: Filters | None, levels: tuple[int, ...]) -> Iterator[np.ndarray]:
+    """Keys of a chunk's phrases, once for each time, of those whose first and last words but one the new filters let in, and not the old ones too."""
+    size = len(words)
+    for n, at, key in _runs(words, linked, lang, langs):
+        wanted, told = np.ones(len(at), bool), np.full(len(at), n > 1 and old is not None)
+        if n > 1:
+            wanted = let_in[at] & let_in[at + 1]
+            told &= had[at] & had[at + 1]
         if n in levels:
-            count = np.bincount(exact[counted], minlength=len(values))
-            one = np.zeros(len(values), np.int64)  # where each phrase occurs
-            one[exact] = np.arange(len(exact))
-            seen = count > 0
-            first = at[one[seen]]
-            phrases = pc.binary_join_element_wise(*[texts.take(pa.array(ids[first + k])) for k in range(n)], b" ")
-            yield table(n, own_lang[ids[first]], keys[one[seen]], phrases, count[seen])
+            yield key[wanted & ~told]
+        if n == max(levels):
+            return
+        # By first word: may this run be part of a longer candidate?
+        let_in, had = np.zeros(size + 1, bool), np.zeros(size + 1, bool)
+        let_in[at] = wanted & new.has(n, key)
+        if old is not None:
+            had[at] = (told if n > 1 else True) & old.has(n, key)
 
 
 def _lang(batch: pa.RecordBatch) -> pa.DictionaryArray:
     return batch.column("lang").cast(pa.binary()).dictionary_encode()
 
 
+def _each_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.DictionaryArray, np.ndarray, np.ndarray, pa.Array]]:
+    """Words, links, language codes of words, and languages of each chunk."""
+    for batch in batches:
+        lang = _lang(batch)
+        for data, ends, first in _chunks(batch.column("text")):
+            words, row, linked = _words(data, ends)
+            if len(words):
+                yield words.dictionary_encode(), linked, lang.indices.to_numpy()[first + row], lang.dictionary
+
+
+def _salted(langs: pa.Array) -> np.ndarray:
+    return _mix(_hashes(langs) + _GOLDEN)
+
+
 def _counting(new, old, levels: tuple[int, ...]) -> Callable:
-    """``new`` and ``old``: broadcast filters or None. Phrases whose parts both are in new, and not both in old."""
+    """Counts of keys; ``new`` and ``old`` are broadcast filters or None."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lang = _lang(batch)
-            for data, ends, first in _chunks(batch.column("text")):
-                words, row, linked = _words(data, ends)
-                if len(words):
-                    for t in _count_chunk(words, linked, lang.indices.to_numpy()[first + row], lang.dictionary, new and new.value, old and old.value, levels):
-                        yield from t.combine_chunks().to_batches(OUT_ROWS)
+        for words, linked, lang, langs in _each_chunk(batches):
+            for keys in _candidates(words, linked, lang, _salted(langs), new and new.value, old and old.value, levels):
+                found = pa.array(keys.view(np.int64)).value_counts()
+                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["key", "c"])
 
     return count
 
 
+def _exact(frequent) -> Callable:
+    """Counts of whole phrases whose keys ``frequent`` holds, and of all words of each language."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words, linked, lang, langs in _each_chunk(batches):
+            texts, codes = words.dictionary, words.indices.to_numpy()
+            total = np.bincount(lang, minlength=len(langs))
+            yield _counted_rows(langs, 0, pa.array(np.arange(len(langs))), pa.array([b""] * len(langs), pa.binary()), total)
+            for n, at, key in _runs(words, linked, lang, _salted(langs)):
+                at = at[frequent.value.has(n, key)]
+                phrases = pc.binary_join_element_wise(*[texts.take(pa.array(codes[at + k])) for k in range(n)], b" ").dictionary_encode()
+                both = pa.array(lang[at].astype(np.int64) * max(1, len(phrases.dictionary)) + phrases.indices.to_numpy()).value_counts()
+                pairs = both.field(0).to_numpy()
+                own, which = np.divmod(pairs, max(1, len(phrases.dictionary)))
+                yield _counted_rows(langs, n, pa.array(own), phrases.dictionary.take(pa.array(which)), both.field(1).to_numpy())
+
+    return count
+
+
+def _counted_rows(langs: pa.Array, n: int, own: pa.Array, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [langs.take(own).cast(pa.string()), pa.array(np.full(len(own), n, np.int32)), phrases.cast(pa.string()), pa.array(counts.astype(np.int64))], names=["lang", "n", "phrase", "c"])
+
+
 def _sampling(share: float) -> Callable:
     """Rows with a random share of their pieces, the same ones in a task that is run again."""
 
@@ -209,25 +220,24 @@ def _sampling(share: float) -> Callable:
     return sample
 
 
-def _counts(texts: DataFrame, least: int, new: Filters | None, old: Filters | None, levels: tuple[int, ...]) -> DataFrame:
-    """(lang, n, phrase, key, c) of phrases that occur ``least`` times or more, exactly; n = 0: all words of a language."""
+def _keys(texts: DataFrame, least: int, new: Filters | None, old: Filters | None, levels: tuple[int, ...]) -> DataFrame:
+    """(key, c) of candidates that occur ``least`` times or more. Phrases that share a key are counted together, so none is lost."""
     sc = texts.sparkSession.sparkContext
     new, old = [f and sc.broadcast(f) for f in (new, old)]
-    part = texts.mapInArrow(_counting(new, old, levels), COUNTS)
-    return part.groupBy("lang", "n", "phrase").agg(F.min("key").alias("key"), F.sum("c").alias("c")).filter((F.col("c") >= least) | (F.col("n") == 0))
+    return texts.mapInArrow(_counting(new, old, levels), "key long, c long").groupBy("key").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
 
 
 def _positions(key: Column, bits: int) -> list[Column]:
     mask = F.lit(bits - 1).cast("long")
-    return [key.bitwiseAND(mask), F.shiftrightunsigned(key, 32).bitwiseAND(mask)]
+    return [F.shiftrightunsigned(key, k).bitwiseAND(mask) for k in (2, 32)]
 
 
-def _filled(phrases: DataFrame, n: int, most_bits: int, before: np.ndarray | None = None) -> np.ndarray:
-    """A filter that holds the phrases of n words, and what ``before`` holds; its size is that of ``before``, or by their number.
+def _filled(keys: DataFrame, n: int, most_bits: int, before: np.ndarray | None = None) -> np.ndarray:
+    """A filter that holds the keys of n words, and what ``before`` holds; its size is that of ``before``, or by their number.
 
     Bits are put together by Spark; bytes of one filter, bounded by ``most_bits``, reach the driver.
     """
-    own = phrases.filter(F.col("n") == n)
+    own = keys.filter(F.col("key").bitwiseAND(F.lit(3).cast("long")) == n - 1)
     bits = 8 * len(before) if before is not None else LEAST_BITS
     if before is None:
         wanted = BITS_EACH * own.count()
@@ -242,46 +252,54 @@ def _filled(phrases: DataFrame, n: int, most_bits: int, before: np.ndarray | Non
 
 
 def _missing(frequent: DataFrame, filters: Filters) -> DataFrame:
-    """Frequent phrases that can begin longer ones and that the filters lack: failures of the border."""
+    """Frequent keys that can begin longer phrases and that the filters lack: failures of the border."""
     held = frequent.sparkSession.sparkContext.broadcast(filters)
 
     def lacking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, key = batch.column("n").to_numpy(), batch.column("key").to_numpy().view(np.uint64)
-            has = np.ones(len(n), bool)
+            key = batch.column("key").to_numpy().view(np.uint64)
+            n, has = key & np.uint64(3), np.ones(len(key), bool)
             for k in range(1, LONGEST):
-                has[n == k] = held.value.has(k, key[n == k])
+                has[n == k - 1] = held.value.has(k, key[n == k - 1])
             yield batch.filter(pa.array(~has))
 
-    return frequent.filter(F.col("n").between(1, LONGEST - 1)).select("n", "key").mapInArrow(lacking, "n int, key long")
+    return frequent.select("key").mapInArrow(lacking, "key long")
 
 
 def frequent_phrases(texts: DataFrame, least: int, share: float = SAMPLE, most_bits: int = MOST_BITS) -> DataFrame:
-    """(lang, n, phrase, key, c): every phrase of up to four words that occurs ``least`` times or more in its lang, exactly; n = 0: all words.
+    """(lang, n, phrase, c): every phrase of up to four words that occurs ``least`` times or more in its lang, exactly; n = 0: all words.
 
     ``texts`` has lang and text, without nulls. A random share of all pieces, so a sample that grows with the input, is mined level by level at a
     threshold lowered by two standard deviations, and proposes phrases. One pass over all texts counts every word and every phrase
     whose first and last words but one are proposed: the proposed ones and their negative border. Where a frequent phrase
     is not proposed, the border has failed: it is added, and a further pass counts what this lets in and no pass has counted yet, until
     nothing is added. Each pass settles one more length, so there are four at most. The sample decides about time only.
+
+    These passes count phrases by keys of 64 bits, which are short to shuffle; phrases that share a key count together, so its count is an upper
+    bound, and all frequent phrases are among the frequent keys. A last pass counts those by their words.
     """
+    sc, levels = texts.sparkSession.sparkContext, tuple(range(1, LONGEST + 1))
     with Scratch(texts.sparkSession) as scratch:
         sample = scratch.written(texts.mapInArrow(_sampling(share), "lang string, text string"), "sample")
         lowered = max(1, ceil(least * share - 2 * sqrt(least * share * (1 - share))))
-        filters = Filters([np.zeros(LEAST_BITS // 8, np.uint8)] * (LONGEST - 1))
-        for n in range(1, LONGEST):
-            proposed = scratch.written(_counts(sample, lowered, filters, None, (n,)), "proposed")
-            filters = Filters([*filters.bits[:n - 1], _filled(proposed, n, most_bits), *filters.bits[n:]])
+        filters = Filters([])
+        for n in levels[:-1]:
+            proposed = scratch.written(_keys(sample, lowered, filters, None, (n,)).select("key"), "proposed")
+            filters = Filters([*filters.bits, _filled(proposed, n, most_bits)])
             scratch.drop(proposed)
-        found = written(_counts(texts, least, filters, None, tuple(range(1, LONGEST + 1))), "phrases")
+        scratch.drop(sample)
+        found = scratch.written(_keys(texts, least, filters, None, levels), "keys")
         every = found
         while True:
             failed = scratch.written(_missing(found, filters), "failures")
             if failed.isEmpty():
-                return every
-            more = Filters([_filled(failed, n, most_bits, filters.bits[n - 1]) for n in range(1, LONGEST)])
-            found = written(_counts(texts, least, more, filters, tuple(range(2, LONGEST + 1))), "phrases")
+                break
+            more = Filters([_filled(failed, n, most_bits, filters.bits[n - 1]) for n in levels[:-1]])
+            found = scratch.written(_keys(texts, least, more, filters, levels[1:]), "keys")
             every, filters = every.unionAll(found), more
+        frequent = sc.broadcast(Filters([_filled(every, n, most_bits) for n in levels]))
+        counts = texts.mapInArrow(_exact(frequent), COUNTS).groupBy("lang", "n", "phrase").agg(F.sum("c").alias("c"))
+        return written(counts.filter((F.col("c") >= least) | (F.col("n") == 0)), "phrases")
 
 
 def _small(counts: DataFrame) -> bool:
