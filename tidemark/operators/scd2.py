@@ -10,13 +10,22 @@ from tidemark.operators.scd1 import first_wins
 
 def stage(incoming: DataFrame, keys: list[str], order: list[str], decimals: list[str] = (), flags: list[str] = ()) -> DataFrame:
     """Incoming rows as the diff wants them: null flags false, amounts DECIMAL(12,2), the first row of each key."""
-    for c in flags:
-        incoming = incoming.withColumn(c, F.coalesce(F.col(c), F.lit(False)))
+    incoming = with_flags(incoming, list(flags)) if flags else incoming
     for c in decimals:
         incoming = incoming.withColumn(c, F.col(c).cast("decimal(12,2)"))
     return first_wins(incoming, keys, order).drop(*[c for c in order if c not in keys])
 
 
+def from_scd1(rows: DataFrame, updated_at: Column, now: Column) -> DataFrame:
+    """Rows of a table without history as open versions from their last update, or from ``now``."""
+    return rows.withColumns({"valid_from": F.coalesce(updated_at, now), "valid_to": F.lit(None).cast("timestamp_ntz")})
+
+
+def with_flags(rows: DataFrame, flags: list[str]) -> DataFrame:
+    """Null key flags of older rows become false, so that they meet staged rows."""
+    return rows.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in flags})
+
+
 def scd2_plan(open_rows: DataFrame, incoming: DataFrame, keys: list[str], compare: list[str]) -> DataFrame:
     """Keys, ``old`` and ``new`` structs of ``compare``, valid_from of the old, and ``action``.
 

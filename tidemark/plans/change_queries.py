@@ -212,15 +212,14 @@ def price_changes(spark, sf_dir):
 
 @query("scd1_to_scd2", f"select l_orderkey, l_suppkey, l_linenumber, coalesce(case when l_linestatus = 'F' then l_shipdate end, timestamp '{NOW}') as valid_from, cast(null as timestamp) as valid_to from lineitem")
 def scd1_to_scd2(spark, sf_dir):
-    """Rows of a table without history become open versions from their last update, or from now."""
-    updated = F.when(F.col("l_linestatus") == "F", F.col("l_shipdate"))
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", F.coalesce(updated, ts(NOW)).alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("updated_at", F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")))
+    return scd2.from_scd1(rows, F.col("updated_at"), ts(NOW)).select("l_orderkey", "l_suppkey", "l_linenumber", "valid_from", "valid_to")
 
 
 @query("backfill_null_key", "select l_orderkey, l_linenumber, l_partkey, coalesce(case when l_returnflag <> 'N' then l_returnflag = 'R' end, false) as partial_buyout from lineitem")
 def backfill_null_key(spark, sf_dir):
-    old = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag") == "R")
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.coalesce(old, F.lit(False)).alias("partial_buyout"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("partial_buyout", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag") == "R"))
+    return scd2.with_flags(rows, ["partial_buyout"]).select("l_orderkey", "l_linenumber", "l_partkey", "partial_buyout")
 
 
 OUTCOME = with_roles(
@@ -294,16 +293,80 @@ SNAP = """select cast(l_suppkey as string) as cruise_id, l_linestatus as class_i
     from lineitem group by l_suppkey, l_linestatus, date_trunc('year', l_shipdate)"""
 
 
-@query("history_rebuild", f"""with s as ({SNAP}), t as (select observed_at, lead(observed_at) over (order by observed_at) as next_at from (select distinct observed_at from s)),
+LEVELS = f"""s as ({SNAP}), t as (select observed_at, lead(observed_at) over (order by observed_at) as next_at from (select distinct observed_at from s)),
     h as (select s.*, t.next_at, lag(level) over w as prev, lag(t.next_at) over w as due from s join t on s.observed_at = t.observed_at window w as (partition by cruise_id, class_id order by s.observed_at)),
-    r as (select *, sum(case when level is distinct from prev or due is distinct from observed_at then 1 else 0 end) over (partition by cruise_id, class_id order by observed_at) as run from h)
-    select cruise_id, class_id, min(level) as level, min(observed_at) as valid_from, arg_max(coalesce(next_at, timestamp '9999-01-01'), observed_at) as valid_to from r group by cruise_id, class_id, run""")
-def history_rebuild(spark, sf_dir):
-    from pyspark.sql import Window
+    r as (select *, sum(case when level is distinct from prev or due is distinct from observed_at then 1 else 0 end) over (partition by cruise_id, class_id order by observed_at) as run from h),
+    v as (select cruise_id, class_id, min(level) as level, min(observed_at) as valid_from, arg_max(coalesce(next_at, timestamp '9999-01-01'), observed_at) as valid_to from r group by cruise_id, class_id, run)"""
+LEVEL_KEYS = ["cruise_id", "class_id"]
+
 
-    snapshots = (
+def _levels(spark, sf_dir):
+    return (
         table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("cruise_id"), F.col("l_linestatus").alias("class_id"), F.date_trunc("year", "l_shipdate").cast("timestamp_ntz").alias("observed_at"))
         .agg(F.floor(F.max("l_quantity") / 10).cast("long").alias("level")))
-    times = snapshots.select("observed_at").distinct().withColumn("next_at", F.lead("observed_at").over(Window.orderBy("observed_at")))  # one row for each snapshot
-    out = scd2.scd2_rebuild(snapshots, ["cruise_id", "class_id"], ["level"], times)
-    return out.withColumn("valid_to", F.coalesce("valid_to", ts("9999-01-01 00:00:00")))
+
+
+def _rebuilt(snapshots):
+    times = scd2.snapshot_times(snapshots.select("observed_at").distinct().withColumn("empty", F.lit(False)))
+    return scd2.scd2_rebuild(snapshots, LEVEL_KEYS, ["level"], times.drop("next_empty"))
+
+
+def _endless(history):
+    return history.withColumn("valid_to", F.coalesce("valid_to", ts("9999-01-01 00:00:00")))
+
+
+@query("history_rebuild", f"with {LEVELS} select * from v")
+def history_rebuild(spark, sf_dir):
+    return _endless(_rebuilt(_levels(spark, sf_dir)))
+
+
+@query("history_splice", f"with {LEVELS} select * from v")
+def history_splice(spark, sf_dir):
+    """The snapshot of 1998 comes last: the history is the same."""
+    snapshots, late = _levels(spark, sf_dir), ts("1998-01-01 00:00:00")
+    history = _rebuilt(snapshots.filter(F.col("observed_at") != late))
+    return _endless(scd2.scd2_splice(history, snapshots.filter(F.col("observed_at") == late).drop("observed_at"), LEVEL_KEYS, ["level"], late, ts("1997-01-01 00:00:00"), ts("1999-01-01 00:00:00")))
+
+
+@query("asof_join", f"""with {LEVELS}, q as (select l_orderkey, l_linenumber, cast(l_suppkey as string) as cruise_id, l_linestatus as class_id, l_shipdate - interval 200 day as t from lineitem)
+    select q.l_orderkey, q.l_linenumber, q.cruise_id, q.class_id, q.t, v.level, v.valid_from from q left join v on v.cruise_id = q.cruise_id and v.class_id = q.class_id and v.valid_from <= q.t and q.t < v.valid_to""")
+def asof_join(spark, sf_dir):
+    """What held 200 days before each line was shipped; nothing before the first snapshot."""
+    probes = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("cruise_id"), F.col("l_linestatus").alias("class_id"), (F.col("l_shipdate").cast("timestamp_ntz") - F.expr("interval 200 days")).alias("t"))
+    return scd2.scd2_asof_join(probes, _rebuilt(_levels(spark, sf_dir)), LEVEL_KEYS, "t", ["level"]).drop("valid_to")
+
+
+# Which parts of a supplier are shown in each quarter; the snapshots of 1998 came empty.
+SHOWN = """with q as (select distinct cast(l_suppkey as string) as cruise_id, cast(l_partkey as string) as room_id, date_trunc('quarter', l_shipdate) as observed_at from lineitem),
+    t as (select distinct observed_at, year(observed_at) = 1998 as empty from q), s as (select * from q where year(observed_at) <> 1998),
+    d as (select k.cruise_id, k.room_id, t.observed_at, s.room_id is not null as here, max(s.observed_at) over w as shown, max(case when t.empty then t.observed_at end) over w as lost
+        from (select distinct cruise_id, room_id from s) k cross join t left join s on s.cruise_id = k.cruise_id and s.room_id = k.room_id and s.observed_at = t.observed_at
+        window w as (partition by k.cruise_id, k.room_id order by t.observed_at)),
+    e as (select *, case when here then true when shown is not null and (lost is null or shown > lost) then false end as available from d),
+    f as (select *, lag(available) over (partition by cruise_id, room_id order by observed_at) is distinct from available as turn from e),
+    g as (select cruise_id, room_id, available, observed_at as valid_from, lead(observed_at) over (partition by cruise_id, room_id order by observed_at) as valid_to from f where turn)
+    select * from g where available is not null"""
+
+
+def _shown(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("cruise_id"), F.col("l_partkey").cast("string").alias("room_id"), F.date_trunc("quarter", "l_shipdate").cast("timestamp_ntz").alias("observed_at"))
+    lost = F.year("observed_at") == 1998
+    return rows.filter(~lost), rows.select("observed_at").distinct().withColumn("empty", lost)
+
+
+@query("history_rebuild_availability", SHOWN)
+def history_rebuild_availability(spark, sf_dir):
+    present, times = _shown(spark, sf_dir)
+    return scd2.presence_rebuild(present, ROOM_KEYS, scd2.snapshot_times(times))
+
+
+@query("availability_splice", SHOWN)
+def availability_splice(spark, sf_dir):
+    """The second quarter of 1997 comes last, before the empty snapshots: the history is the same."""
+    present, times = _shown(spark, sf_dir)
+    late = ts("1997-04-01 00:00:00")
+    history = scd2.presence_rebuild(present.filter(F.col("observed_at") != late), ROOM_KEYS, scd2.snapshot_times(times.filter(F.col("observed_at") != late)))
+    return scd2.presence_splice(
+        history, present.filter(F.col("observed_at") == late), ROOM_KEYS, late, ts("1997-01-01 00:00:00"), ts("1997-07-01 00:00:00"), F.lit(False), ts("1998-01-01 00:00:00"))

@@ -204,6 +204,25 @@ def enrich_first_wins(spark, sf_dir):
     return enrich.enrich(_tours(spark, sf_dir), rules, {"b": "looked up"}).select("cruise_id", "a", "b", "c")
 
 
+# Rules of many providers as rows; a provider is an order's priority. Values depend on the row: some have no end, some no name.
+RULE_ROWS = [
+    (1, None, "days", "days_between", {"plus": 1}, 100, True), (2, None, "days", "constant", {"value": "0"}, 200, True), (3, None, "route", "constant", {}, 5, True),
+    (4, "1-URGENT", "route", "template", {"template": "U {name}/{cruise_id}{x}{open"}, 10, True), (5, None, "route", "config_lookup", {"value": "Z"}, 300, True), (6, "3-MEDIUM", "is_return", "constant", {"value": "true"}, 1, True),
+    (7, "3-MEDIUM", "is_return", "constant", {"value": "false"}, 0, False), (8, None, "city_from", "no such kind", {"value": "x"}, 1, True)]
+
+
+@query("enrich_rules_table", """select o_orderkey, case when o_orderstatus = 'P' then '0' else '5' end as days, case o_orderpriority when '1-URGENT' then 'U ' || case when o_orderstatus = 'F' then '' else o_orderstatus end || '/' || o_orderkey || '{x}{open}'
+    when '2-HIGH' then null when '5-LOW' then 'low' else 'Z' end as route, case when o_orderpriority = '3-MEDIUM' then 'true' end as is_return, cast(null as string) as city_from from orders""")
+def enrich_rules_table(spark, sf_dir):
+    status = F.col("o_orderstatus")
+    tours = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("provider"), F.col("o_orderkey").cast("string").alias("cruise_id"), F.when(status != "F", status).alias("name"), F.col("o_orderdate").cast("date").alias("begin_date"),
+        F.when(status != "P", F.date_add(F.col("o_orderdate").cast("date"), 4)).alias("end_date"))
+    rules = enrich.rules_by_provider(enrich.rules_frame(spark, RULE_ROWS), tours)
+    config = spark.createDataFrame([("2-HIGH", "route", None), ("5-LOW", "route", "low")], "provider string, field string, value string")
+    return enrich.enrich_by_table(tours, rules, ["days", "route", "is_return", "city_from"], config).select("o_orderkey", "days", "route", "is_return", "city_from")
+
+
 @query("enrich_typed", """select o_orderkey, case when o_orderstatus = 'F' then null else cast(floor(o_totalprice / 1000) as int) end as days, case o_orderpriority when '1-URGENT' then true when '2-HIGH' then false end as is_return
     from orders""")
 def enrich_typed(spark, sf_dir):
