@@ -19,6 +19,8 @@ from tidemark.operators import enrich as rules_
 from tidemark.sources import feed
 from tidemark.sources.store import Conflict, StateStore
 
+#: Payloads from so many bytes on are read by many tasks, if ``landed`` names their files.
+LARGE_BYTES = 16 << 20
 LIFE = "is_active boolean, created_at timestamp_ntz, updated_at timestamp_ntz"
 VERSION = "valid_from timestamp_ntz, valid_to timestamp_ntz"
 #: table -> (key columns, other columns) of dimensions.
@@ -112,6 +114,7 @@ class Run:
     before: datetime | None = None
     after: datetime | None = None
     next_empty: datetime | None = None
+    path: str | None = None
     id: str = field(default_factory=lambda: uuid.uuid4().hex)
     began: float = field(default_factory=time.monotonic)
 
@@ -168,7 +171,12 @@ def _round(store: StateStore, batch: DataFrame, payloads: list[tuple[str, dateti
     spark, done, failed, joint, single = store.spark, [], [], [], []
     runs = [Run(p, at, sha, {}, at) for p, at, sha in payloads]
     starts = store.write_each("runs", _rows(spark, RUNS, [dict(run_id=r.id, provider=r.provider, event="start", status="running", at=r.observed_at, sha256=r.sha256) for r in runs]), [r.provider for r in runs])
+    large = {}
+    if {"path", "length"} <= set(batch.columns):
+        named = batch.filter(F.col("sha256").isin([r.sha256 for r in runs]) & (F.col("length") >= LARGE_BYTES))
+        large = {r["sha256"]: r["path"] for r in named.groupBy("sha256").agg(F.min("path").alias("path")).collect()}
     for run in runs:
+        sha = run.sha256
         store.retried(lambda run=run: store.commit(store.pointer(run.provider), added={"runs": starts[run.provider]}))
         now = _placed(store, run.provider, run.observed_at, run.sha256)
         if now is None:
@@ -176,7 +184,8 @@ def _round(store: StateStore, batch: DataFrame, payloads: list[tuple[str, dateti
             done.append((run.provider, None))
         else:
             now.id, now.began = run.id, run.began
-            (single if now.late else joint).append(now)
+            now.path = large.get(sha)
+            (single if now.late or now.path else joint).append(now)
     if len(joint) > 1:
         try:
             metrics, again = _apply(store, batch, joint, rules)
@@ -201,7 +210,7 @@ def _alone(store: StateStore, batch: DataFrame, run: Run, rules: dict[str, list]
     now = _placed(store, run.provider, run.observed_at, run.sha256)
     if now is None:
         return None
-    now.id, now.began = run.id, run.began
+    now.id, now.began, now.path = run.id, run.began, run.path
     metrics, again = _apply(store, batch, [now], rules)
     if again:
         raise Conflict(run.provider)
@@ -238,7 +247,11 @@ def _apply(store: StateStore, batch: DataFrame, runs: list[Run], rules: dict[str
         at = _by_provider({r.provider: r.at for r in runs}, "timestamp_ntz")
         before, after, next_empty = (_by_provider({r.provider: getattr(r, c) for r in runs}, "timestamp_ntz") for c in ("before", "after", "next_empty"))
         with _stage(label, "parse"):
-            raw = feed.shred(held(feed.parse(fresh)))
+            raw = None
+            if runs[0].path:
+                with contextlib.suppress(feed.Malformed):  # or such that only a parse as a whole can tell
+                    raw = feed.typed_records(feed.records_of_file(spark, runs[0].path, names[0], F.lit(runs[0].observed_at).cast("timestamp_ntz"), held))
+            raw = raw or feed.shred(held(feed.parse(fresh)))
             canon = {k: v.drop("observed_at") for k, v in canonical.canonicalise(raw).items()}
             counted = functools.reduce(DataFrame.unionAll, [df.groupBy("provider").agg(F.count("*").alias("n")).select("provider", F.lit(k).alias("name"), "n") for k, df in canon.items() if k != "tours"])
             # Tours are counted by their records: a date that is none is a failure of writing, not of reading.
