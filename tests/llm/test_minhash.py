@@ -131,6 +131,41 @@ def test_large_bucket_and_family_in_blocks(spark, monkeypatch):
     assert got == set(want.items()) and 30 < len({c for d, c in want.items() if d >= 1000})
 
 
+def loose(n, seed, odd=0):
+    """Members of one template with an end of their own: each pair just below 0.8, but every tenth is close to the one before."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(8))
+    base, rows = [word() for _ in range(160)], []
+    for i in range(n):
+        own = base + [word() for _ in range(20)]
+        if i % 10 == 9:
+            own = [*rows[-1][1].split()[:179], word()]
+        if i < odd:
+            own += own[:30]
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_rows_of_a_loose_family_grow_with_it(spark, monkeypatch):
+    """Rows that are sent to be compared at most 2.2 times for twice the members, and no link is lost."""
+    monkeypatch.setattr(minhash, "FAMILY_ROWS", 16)
+    monkeypatch.setattr(minhash, "BUCKET_ROWS", 4096)
+    compared, sent = minhash._compared, []
+
+    def counted(rows, compare):
+        if "elements" in rows.columns:
+            sent[-1] += rows.count()
+        return compared(rows, compare)
+
+    monkeypatch.setattr(minhash, "_compared", counted)
+    for n, odd in ((160, 0), (320, 0), (120, 20)):
+        rows = loose(n, 3, odd)
+        sent.append(0)
+        got = {tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == set(classes(rows).items()) and len({c for _, c in got}) > n / 2
+    assert sent[1] <= 2.2 * sent[0], sent
+
+
 def test_prob_jaccard_and_connected():
     rnd = np.random.default_rng(3)
     for _ in range(50):

@@ -363,7 +363,7 @@ def _compared(rows: DataFrame, compare: Callable) -> DataFrame:
     return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j").mapInArrow(compare, "a long, b long").distinct()
 
 
-def group_links(rows: DataFrame, compare: Callable, payload: list[str], scratch: Scratch) -> DataFrame:
+def group_links(rows: DataFrame, compare: Callable, payload: list[str], scratch: Scratch, narrow: Callable | None = None) -> DataFrame:
     """(a, b): links between rows of a group, so many that all others of the group follow from them.
 
     ``rows`` has g (group), node, blocks (the number of blocks that its group is cut into) and ``payload``.
@@ -371,7 +371,8 @@ def group_links(rows: DataFrame, compare: Callable, payload: list[str], scratch:
     groups of one block. In larger ones, what is not connected with most of the group by
     then is cut into blocks again and compared with every block. So a group
     of near copies costs work in proportion to its size, no task gets more than two blocks, and no pair
-    of a group that could connect it further stays untested.
+    of a group that could connect it further stays untested. ``narrow`` may settle groups in another way: it gives further
+    links, and pairs of row sets that are left to be compared in blocks.
     """
     block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
     at = rows.withColumn("block", block).withColumn("comp", F.col("node"))
@@ -385,14 +386,73 @@ def group_links(rows: DataFrame, compare: Callable, payload: list[str], scratch:
     comp = components(links, scratch.written)
     labelled = large.drop("comp").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     main = labelled.groupBy("g", "comp").agg(F.count("*").alias("c")).groupBy("g").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("all"))
-    outside = labelled.join(main, "g").filter("comp <> main")
-    # Blocks of about the same size as before.
-    parts = outside.groupBy("g").agg(F.ceil(F.count("*") * F.first("blocks") / F.first("all")).cast("int").alias("parts"))
-    sent = outside.join(parts, "g").withColumn("i", F.pmod(F.xxhash64("node", F.lit(1)), "parts").cast("int") + 1).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
-    met = labelled.join(parts, "g").withColumn("i", F.explode(F.sequence(F.lit(1), F.col("parts")))).withColumn("j", F.col("block"))
+    labelled = labelled.join(main, "g").withColumn("outside", F.col("comp") != F.col("main")).drop("main")
+    if narrow is not None:
+        labelled = scratch.written(labelled, "labelled")
+        more, crossings = narrow(labelled, scratch)
+        links = scratch.written(links.unionAll(more), "links")
+    else:
+        crossings = [(labelled.filter("outside"), labelled)]
     names = ["g", "i", "j", "side", "node", "comp", *payload]
-    second = sent.withColumn("side", F.lit(0)).select(names).unionAll(met.withColumn("side", F.lit(1)).select(names))
-    return scratch.written(links.unionAll(_compared(second, compare)), "links")
+    for k, (left, right) in enumerate(crossings):
+        # Blocks of about the same size as before.
+        parts = left.groupBy("g").agg(F.ceil(F.count("*") * F.first("blocks") / F.first("all")).cast("int").alias("parts"))
+        sent = left.join(parts, "g").withColumn("i", F.pmod(F.xxhash64("node", F.lit(1)), "parts").cast("int") + 1).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+        met = right.join(parts, "g").withColumn("i", F.explode(F.sequence(F.lit(1), F.col("parts")))).withColumn("j", F.col("block"))
+        second = sent.withColumn("side", F.lit(0)).select(names).unionAll(met.withColumn("side", F.lit(1)).select(names))
+        links = scratch.written(links.unionAll(_compared(second, compare)), "links")
+    return links
+
+
+def _narrowed(threshold: float) -> Callable:
+    """For families: pairs with a member outside the main part are found by what they do not share with most of their family.
+
+    Let the core be the shingles of more than half of a family, and D(x) what x has beside the core or lacks of it. Sets x and y
+    differ in |D(x)| + |D(y)| - 2 |D(x) and D(y)| shingles, and are similar if that is at most (1 - t) / (1 + t) (|x| + |y|). With s(x) = |D(x)| -
+    (1 - t) / (1 + t) |x| this is 2 |D(x) and D(y)| >= s(x) + s(y). So a similar pair either has s(x) + s(y) <= 0, and then both are similar to the
+    member of the smallest s as well; or it shares a part of D, and meets in a group under that shingle. Groups of the same members are one. In a loose
+    family, whose members differ in shingles of their own, no two meet, and rows grow with the family, not with its square.
+
+    Texts that repeat shingles are not told by sets; they, and families whose groups would send more rows than blocks do, are left to the blocks. That
+    choice changes which rows are sent, never which pairs are tested.
+    """
+    ratio = (1 - threshold) / (1 + threshold)
+
+    def narrow(labelled: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[tuple[DataFrame, DataFrame]]]:
+        plain = F.array_max("counts") == 1
+        sets = labelled.filter(plain).select("g", "node", "comp", "outside", "elements")
+        size = sets.groupBy("g").agg(F.count("*").alias("c"))
+        core = sets.select("g", F.explode("elements").alias("e")).groupBy("g", "e").agg(F.count("*").alias("n")).join(size, "g").filter("2 * n > c")
+        core = scratch.written(core.groupBy("g").agg(F.collect_list("e").alias("core")), "core")
+        # Flags tell shingles that a text has from those it lacks.
+        differs = F.concat(F.array_except("elements", "core"), F.transform(F.array_except("core", "elements"), lambda e: F.xxhash64(e)))
+        own = sets.join(core, "g", "left").withColumn("core", F.coalesce("core", F.slice("elements", 1, 0)))
+        own = scratch.written(own.select("g", "node", "comp", "outside", differs.alias("d"), F.size("elements").alias("size")).withColumn("s", F.size("d") - F.lit(ratio) * F.col("size")).drop("size"), "differences")
+        least = own.groupBy("g").agg(F.min_by(F.struct("node", "s"), F.struct("s", "node")).alias("m"))
+        star = own.join(least, "g").filter((F.col("s") + F.col("m.s") <= 1e-9) & (F.col("node") != F.col("m.node"))).select(F.least("node", "m.node").alias("a"), F.greatest("node", "m.node").alias("b"))
+        star = scratch.written(star, "links")
+        shared = own.select("g", "node", "comp", "outside", F.explode("d").alias("e"))
+        keys = shared.groupBy("g", "e").agg(
+            F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"),
+            F.max("outside").alias("o"), (F.min("comp") < F.max("comp")).alias("apart")).filter("n > 1 and o and apart")
+        keys = scratch.written(keys.groupBy("g", "n", "low", "high", "h").agg(F.min("e").alias("e")).select("g", "e", "n"), "keys")
+        rows = labelled.groupBy("g").agg((F.count_if("outside") * F.first("blocks") + F.count("*") * F.ceil(F.count_if("outside") * F.first("blocks") / F.first("all"))).alias("rows"))
+        few = scratch.written(keys.groupBy("g").agg(F.sum("n").alias("sent")).join(rows, "g", "right").filter(F.coalesce("sent", F.lit(0)) <= F.col("rows")).select("g"), "narrowed")
+        groups = shared.join(_picked_keys(keys.join(few, "g").drop("n")), ["g", "e"]).select(F.xxhash64("g", "e").alias("key"), "node")
+        met = groups.join(labelled.select("node", "elements", "counts"), "node").withColumnRenamed("key", "g")
+        met = scratch.written(met, "met")
+        blocks = met.groupBy("g").agg(F.ceil(F.greatest(F.count("*") / FAMILY_ROWS, F.sum(F.size("elements")) / FAMILY_SHINGLES)).cast("int").alias("blocks"))
+        found = group_links(met.join(blocks, "g"), _near_texts(threshold), ["elements", "counts"], scratch)
+        # Left to the blocks: families that are not narrowed, and in others the texts with repeats: outside ones against all, all of them against outside ones without.
+        told = labelled.join(_picked(few), "g", "left_semi")
+        rest = labelled.join(_picked(few), "g", "left_anti")
+        return star.unionAll(found), [(rest.filter("outside"), rest), (told.filter(F.col("outside") & ~plain), told), (told.filter(~plain), told.filter(F.col("outside") & plain))]
+
+    return narrow
+
+
+def _picked_keys(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,7 +491,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", threshold: float = 0.8)
             _counted, "doc_id long, k1 long, k2 long, elements array<bigint>, counts array<bigint>")
         sets = scratch.written(sets.join(_picked(members), ["doc_id", "k1", "k2"]).dropDuplicates(["node"]).select("g", "node", "elements", "counts"), "shingles")
         blocks = sets.groupBy("g").agg(F.ceil(F.greatest(F.count("*") / FAMILY_ROWS, F.sum(F.size("elements")) / FAMILY_SHINGLES)).cast("int").alias("blocks"))
-        links = group_links(sets.join(blocks, "g"), _near_texts(threshold), ["elements", "counts"], scratch)
+        links = group_links(sets.join(blocks, "g"), _near_texts(threshold), ["elements", "counts"], scratch, _narrowed(threshold))
         # Rows that share a doc_id but not their words link their nodes.
         named = scratch.written(every.select("rid", "doc_id", "n").join(copies, "rid", "left").select("doc_id", "n", F.coalesce("node", "rid").alias("node")), "named")
         twice = named.filter("n > 0").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").drop("b")
