@@ -83,6 +83,14 @@ def check_three_days(store):
         ("T-9", TIMES[0], True, TIMES[1]), ("T-9", TIMES[1], False, "None")]
     for name in sync.HISTORIES:
         assert scd2.scd2_check(table(store, name), ["provider", *sync._names(sync.HISTORIES[name][0])]).count() == 0
+    check_figures(store, "lake", {"spring": ("210.40", 2), "summer": ("84.00", 0), "autumn": ("65.50", 0)})
+
+
+def check_figures(store, provider, want=None):
+    """Figures that syncs kept up are those of all open versions."""
+    kept = {r.external_cruise_id: (str(r.minimal_price), r.room_counts) for r in store.read("cruise_figures", sync._schema(store.spark, sync.VIEW), "open", provider).collect()}
+    whole = sync.cruise_figures(*[table(store, n, provider).filter("valid_to is null") for n in sync.HISTORIES])
+    assert kept == {r.external_cruise_id: (str(r.minimal_price), r.room_counts) for r in whole.collect()} and (want is None or kept == want)
 
 
 def test_batches_in_order_with_bad_payloads_and_other_providers(spark, tmp_path):
@@ -149,6 +157,7 @@ def test_snapshots_in_any_order(spark, tmp_path):
     want = {n: [r.replace("'right'", "'x'") for r in v] for n, v in state(store, "right").items()}
     assert all(want.values())
     for p in orders:
+        check_figures(store, p)
         assert {n: [r.replace(f"'{p}'", "'x'") for r in v] for n, v in state(store, p).items()} == want, p
         for name in sync.HISTORIES:
             assert scd2.scd2_check(table(store, name, p), ["provider", *sync._names(sync.HISTORIES[name][0])]).isEmpty()

@@ -47,6 +47,8 @@ ERRORS = """id bigint, occurred_at timestamp_ntz, provider string, stage string,
     notification_state string, notification_claimed_at timestamp_ntz, notification_attempts int""".replace("\n   ", "")
 HEALTH = "checked_at timestamp_ntz, component string, status string, latency_ms bigint, details string"
 METRICS = "run_id string, provider string, label string, n bigint"
+#: What the list shows of each cruise's open versions: kept up by each sync for the cruises that it touches.
+VIEW = "provider string, external_cruise_id string, minimal_price decimal(12,2), room_counts int"
 REJECTS = "run_id string, provider string, section string, ordinal string, value string, reason string"
 
 
@@ -223,6 +225,13 @@ def _by_provider(values: dict[str, object], kind: str) -> Column:
     return F.create_map(*pairs)[F.col("provider")]
 
 
+def cruise_figures(prices: DataFrame, sales: DataFrame, availability: DataFrame) -> DataFrame:
+    """``VIEW`` from open versions: the lowest price over prices and sales, and the rooms that are available; cruises with neither have no row."""
+    priced = lambda df: df.select("provider", "external_cruise_id", "base_price", F.lit(0).alias("room"))
+    rooms = availability.filter("available").select("provider", "external_cruise_id", F.lit(None).cast("decimal(12,2)").alias("base_price"), F.lit(1).alias("room"))
+    return priced(prices).unionAll(priced(sales)).unionAll(rooms).groupBy("provider", "external_cruise_id").agg(F.min("base_price").alias("minimal_price"), F.sum("room").cast("int").alias("room_counts"))
+
+
 def _apply(store: StateStore, batch: DataFrame, runs: list[Run], rules: dict[str, list]) -> tuple[dict[str, dict], list[Run]]:
     """Write and commit the payloads of ``runs``, of different providers; write metrics by provider, and the runs that met a conflict.
 
@@ -267,7 +276,7 @@ def _apply(store: StateStore, batch: DataFrame, runs: list[Run], rules: dict[str
             canon["tours"] = enriched
         with _stage(label, "persist"):
             empty = _by_provider({p: not counts.get((p, "availability")) for p in names}, "boolean")
-            replaced, added, closed, actions, deactivated = {}, {}, {}, {}, {}
+            replaced, added, closed, actions, deactivated, current_, touched = {}, {}, {}, {}, {}, {}, []
             for name, (key, rest) in DIMENSIONS.items():
                 attrs = _names(rest) + (_names(ENRICHED) if name == "tours" else [])
                 keys = ["provider", *_names(key)]
@@ -301,7 +310,19 @@ def _apply(store: StateStore, batch: DataFrame, runs: list[Run], rules: dict[str
                     for r in plan.groupBy("provider", "action").count().collect():
                         actions.setdefault((r["provider"], name), {})[r["action"]] = r["count"]
                     added[name] = store.write_each(name, versions.filter("valid_to is not null"), names)
-                replaced[name] = store.write_each(name, scd2.scd2_current(versions), names)
+                current_[name] = scd2.scd2_current(versions)
+                if not late:
+                    touched.append(plan.filter("action <> 'same'").select("provider", "external_cruise_id"))
+                replaced[name] = store.write_each(name, current_[name], names)
+            # The figures of a cruise whose versions changed are made anew, also if its lowest price went; all others stay.
+            if late:
+                view = cruise_figures(*[current_[n] for n in HISTORIES])
+            else:
+                cruise = ["provider", "external_cruise_id"]
+                hit = held(functools.reduce(DataFrame.unionAll, touched).distinct())
+                view = known("cruise_figures", _schema(spark, VIEW), "open").join(hit, cruise, "left_anti").unionByName(
+                    cruise_figures(*[current_[n].join(hit, cruise, "left_semi") for n in HISTORIES]))
+            replaced["cruise_figures"] = store.write_each("cruise_figures", view.select(*_names(VIEW)), names)
             ids = _by_provider({r.provider: r.id for r in runs}, "string")
             rejects = raw["rejects"].select("provider", "section", F.col("ordinal").cast("string"), "value", F.lit("no number").alias("reason")).unionAll(
                 raw["classes"].filter(F.length("id") < 3).select("provider", F.lit("classes"), F.col("ordinal").cast("string"), "id", F.lit("short id")))
