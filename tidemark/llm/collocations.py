@@ -9,7 +9,6 @@ from math import ceil, sqrt
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ LONGEST = 4
 #: Share of the pieces that the sample takes.
 SAMPLE = 0.25
 #: Bytes of text that a worker splits at once.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Bits of a filter at least, at most, and for each proposed phrase.
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 16, 1 << 28, 16
 #: Counts up to so many rows and bytes are broadcast.
@@ -109,7 +108,14 @@ def _words(data: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray, np
 
 
 def _hashes(values: pa.Array) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(v) for v in values.to_pylist()), np.uint64, len(values))
+    """64 bits of each value's bytes and their places, by one sum for each value."""
+    values = values.cast(pa.large_binary())
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1]
+    sizes = np.diff(offsets)
+    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    place = np.arange(len(data)) - np.repeat(offsets[:-1] - offsets[0], sizes)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(data + _GOLDEN * (place + 1).astype(np.uint64)))])
+    return _mix(sums[offsets[1:] - offsets[0]] - sums[offsets[:-1] - offsets[0]] + sizes.astype(np.uint64))
 
 
 def _runs(words: pa.DictionaryArray, linked: np.ndarray, lang: np.ndarray, langs: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -169,8 +175,8 @@ def _counting(new, old, levels: tuple[int, ...]) -> Callable:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, linked, lang, langs in _each_chunk(batches):
             for keys in _candidates(words, linked, lang, _salted(langs), new and new.value, old and old.value, levels):
-                found = pa.array(keys.view(np.int64)).value_counts()
-                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["key", "c"])
+                found, counts = np.unique(keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], names=["key", "c"])
 
     return count
 
@@ -185,11 +191,14 @@ def _exact(frequent) -> Callable:
             yield _counted_rows(langs, 0, pa.array(np.arange(len(langs))), pa.array([b""] * len(langs), pa.binary()), total)
             for n, at, key in _runs(words, linked, lang, _salted(langs)):
                 at = at[frequent.value.has(n, key)]
-                phrases = pc.binary_join_element_wise(*[texts.take(pa.array(codes[at + k])) for k in range(n)], b" ").dictionary_encode()
-                both = pa.array(lang[at].astype(np.int64) * max(1, len(phrases.dictionary)) + phrases.indices.to_numpy()).value_counts()
-                pairs = both.field(0).to_numpy()
-                own, which = np.divmod(pairs, max(1, len(phrases.dictionary)))
-                yield _counted_rows(langs, n, pa.array(own), phrases.dictionary.take(pa.array(which)), both.field(1).to_numpy())
+                # Numbers that stand for language and words, so equal ones are equal phrases.
+                same = lang[at].astype(np.int64) * len(texts) + codes[at]
+                for k in range(1, n):
+                    same = np.unique(same, return_inverse=True)[1] * len(texts) + codes[at + k]
+                _, first, counts = np.unique(same, return_index=True, return_counts=True)
+                at = at[first]
+                phrases = pc.binary_join_element_wise(*[texts.take(pa.array(codes[at + k])) for k in range(n)], b" ")
+                yield _counted_rows(langs, n, pa.array(lang[at]), phrases, counts)
 
     return count
 
