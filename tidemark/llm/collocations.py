@@ -244,7 +244,7 @@ def _positions(key: Column, bits: int) -> list[Column]:
 def _filled(keys: DataFrame, n: int, most_bits: int, before: np.ndarray | None = None) -> np.ndarray:
     """A filter that holds the keys of n words, and what ``before`` holds; its size is that of ``before``, or by their number.
 
-    Bits are put together by Spark; bytes of one filter, bounded by ``most_bits``, reach the driver.
+    Bits are put together by Spark; words of 64 bits of one filter, bounded by ``most_bits``, reach the driver.
     """
     own = keys.filter(F.col("key").bitwiseAND(F.lit(3).cast("long")) == n - 1)
     bits = 8 * len(before) if before is not None else LEAST_BITS
@@ -253,11 +253,11 @@ def _filled(keys: DataFrame, n: int, most_bits: int, before: np.ndarray | None =
         while bits < wanted and bits < most_bits:
             bits *= 2
     at = own.select(F.explode(F.array(*_positions(F.col("key"), bits))).alias("p"))
-    one = F.call_function("shiftleft", F.lit(1), F.col("p").bitwiseAND(F.lit(7).cast("long")).cast("int"))
-    found = at.groupBy(F.shiftright("p", 3).alias("byte")).agg(F.bit_or(one).alias("b")).toArrow()
-    array = np.zeros(bits // 8, np.uint8) if before is None else before.copy()
-    array[found.column("byte").to_numpy()] |= found.column("b").to_numpy().astype(np.uint8)
-    return array
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    found = at.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(one).alias("b")).toArrow()
+    words = np.zeros(bits // 64, np.uint64) if before is None else before.view(np.uint64).copy()
+    words[found.column("word").to_numpy()] |= found.column("b").to_numpy().view(np.uint64)
+    return words.view(np.uint8)
 
 
 def _missing(frequent: DataFrame, filters: Filters) -> DataFrame:
