@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import ts
 from tidemark.operators import logs, metrics
 from tidemark.plans.registry import query
-from tidemark.plans.roles import role, table, with_roles
+from tidemark.plans.roles import role, role_of, table, with_roles
+from tidemark.sources.scratch import new_folder
+from tidemark.streaming import alerts
 
 NOW = "2024-01-31 00:00:00"
 #: The log spans January 2024, so the digest's window is a month here.
@@ -245,6 +247,24 @@ def alert_hold(spark, sf_dir):
     return metrics.alert_hold(hourly, ["provider"], F.col("ratio") > 0.1, 3, 60)
 
 
+CLOSED = f"{HOURLY} having time_bucket(interval 1 hour, ts) + interval 1 hour <= (select max(ts) - interval 10 minutes from metrics)"
+HELD = f"select provider, min(window_start) as since, max(window_start) as until, count(*) as windows from (select *, window_start - to_hours(cast(row_number() over (partition by provider order by window_start) as int)) as run from ({CLOSED}) where ratio > 0.1) group by provider, run having count(*) >= 3"
+
+
+@query("alert_stream", with_roles("metrics", f""", held as ({HELD}) select provider, 'firing' as state, since, since + interval 2 hours as until, cast(3 as bigint) as windows from held
+    union all select provider, 'resolved', since, until, windows from held where until + interval 2 hours <= (select max(ts) - interval 10 minutes from metrics)"""))
+def alert_stream(spark, sf_dir):
+    """The whole log as a stream: alerts as they fire and as they end, in windows that the watermark has closed."""
+    # A pattern, since a stream's plain path must be a folder and the table may be one file.
+    log = role_of(spark, "metrics", "events", spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parque[t]"))
+    windows = alerts.closed_windows(log, "ts", 60, ["provider"], {"ratio": F.count_if(F.col("status") == "failed") / F.count("*")})
+    held, folder = alerts.hold_stream(windows, ["provider"], F.col("ratio") > 0.1, 3, 60), new_folder(spark, "alerts")
+    with alerts.timers(spark):
+        run = held.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.schema(held.schema).parquet(f"{folder}/rows").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("since", "until")})
+
+
 @query("duration_histogram", with_roles("metrics", f"select phase, le, count(*) filter (le is null or duration <= le) as n from metrics, (select unnest([{', '.join(map(str, metrics.DURATION_BUCKETS))}, null]::double[]) as le) group by phase, le"))
 def duration_histogram(spark, sf_dir):
     return metrics.duration_histogram(_metrics(spark, sf_dir), "duration", ["phase"])

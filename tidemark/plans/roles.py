@@ -53,9 +53,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The rows of a role; views are replaced by tables of ``sf_dir`` inside the text only."""
-    text = ROLES[name]
-    base = next(t for t in TABLES if f" from {t}" in " ".join(text.split()))
-    return spark.sql(text.replace(f"from {base}", "from " + "{base}"), base=table(spark, sf_dir, base))
+    base = next(t for t in TABLES if f" from {t}" in " ".join(ROLES[name].split()))
+    return role_of(spark, name, base, table(spark, sf_dir, base))
+
+
+def role_of(spark: SparkSession, name: str, base: str, rows: DataFrame) -> DataFrame:
+    """The role with ``rows``, a stream too, in place of its table ``base``."""
+    return spark.sql(ROLES[name].replace(f"from {base}", "from " + "{base}"), base=rows)
 
 
 def with_roles(names: str, query: str) -> str:
