@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -90,6 +91,47 @@ def test_commits_conflict_instead_of_losing_shards(spark):
     assert store.read().count() == 1
 
 
+def test_a_compaction_keeps_what_arrives_meanwhile(spark, monkeypatch):
+    """An arrival, with a new column, between a merge and its commit; then a second compaction of the same shards that comes too late."""
+    store = sharding.ShardStore(spark, new_folder(spark, "s"), target_bytes=100_000, fan_in=3, smallest_bytes=10_000)
+    for k in range(3):
+        store.append(spark.createDataFrame([(k, "a")], "doc_id long, text string").coalesce(1))
+    other = sharding.ShardStore(spark, store.root, store.target_bytes, store.fan_in, store.smallest_bytes)
+    late, write, before = store.manifest(), store._write, store.manifest()
+
+    def meanwhile(df, merged):
+        made = write(df, merged)
+        if merged and store.manifest() == before:
+            other.append(spark.createDataFrame([(9, "b", "e")], "doc_id long, text string, extra string").coalesce(1))
+        return made
+
+    monkeypatch.setattr(store, "_write", meanwhile)
+    last = store.compact()
+    assert last["version"] == before["version"] + 2 and sorted(s["merged"] for s in last["shards"]) == [False, True]
+    assert rows_of(store.read()) == [(0, "a", ""), (1, "a", ""), (2, "a", ""), (9, "b", "e")]
+    monkeypatch.setattr(other, "manifest", lambda version=None, first=[late]: first.pop() if first else store.manifest(version))
+    assert other.compact() == last, "its merge is left out, since its shards are merged already"
+    assert rows_of(store.read()) == [(0, "a", ""), (1, "a", ""), (2, "a", ""), (9, "b", "e")]
+
+
+def test_arrivals_and_compactions_at_once(spark):
+    root = new_folder(spark, "s")
+    stores = [sharding.ShardStore(spark, root, 100_000, 2, 10_000) for _ in range(4)]
+
+    def work(k):
+        for i in range(4):
+            if k < 3:
+                stores[k].append(spark.createDataFrame([(10 * k + i, "t")], "doc_id long, text string").coalesce(1))
+            else:
+                stores[k].compact()
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(work, range(4)))
+    stores[0].compact()
+    assert [r[0] for r in sorted(stores[0].read().select("doc_id").collect())] == [0, 1, 2, 3, 10, 11, 12, 13, 20, 21, 22, 23]
+    assert not stores[0].due(stores[0].manifest()["shards"])
+
+
 def test_sharding_query(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = sharding.op8_sharding(spark, sf_dir).collect()

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import math
+import random
+import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +17,9 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import documents, new_folder
 
+#: So often a change is put on top of a newer version before it is given up.
+TRIES = 50
+
 
 @dataclass
 class ShardStore:
@@ -20,8 +27,9 @@ class ShardStore:
 
     A write first makes files under a fresh name, then commits a manifest with
     the next version number by a rename that fails if that version exists. So
-    readers see whole versions only, and of two writers one must start again
-    (``CommitConflict``). Files of lost or overtaken writes are never listed. Manifests hold a path and a size for each
+    readers see whole versions only, and of two writers one comes second: it puts its change on top of the newest
+    version, with the files that it has. Arrivals always can; a merge can as long as
+    the version still lists all it was made of, else another compaction was first and that merge is left out. Files of lost or overtaken writes are never listed. Manifests hold a path and a size for each
     shard, and the schema: the union of all arrivals' columns. A column that a shard lacks is null in its rows, before
     and after compaction; an arrival that gives a column another type is refused. Rows may repeat, hold nulls anywhere
     and texts of any length, and come back as they came; an arrival without rows adds its columns only. Rows never pass through the driver.
@@ -81,6 +89,19 @@ class ShardStore:
             raise
         return new
 
+    def _rebased(self, base: dict, change: Callable[[dict], tuple[list[dict], T.StructType | None] | None]) -> dict:
+        """Commit what ``change`` makes of ``base``, or of the newest manifest where others came first; with None there is nothing to commit."""
+        for k in range(TRIES):
+            new = change(base)
+            if new is None:
+                return base
+            try:
+                return self.commit(base, *new)
+            except CommitConflict:
+                time.sleep(random.uniform(0, 0.02 * 2 ** min(k, 6)))
+                base = self.manifest()
+        raise CommitConflict(f"{TRIES} versions came first")
+
     def _write(self, df: DataFrame, merged: bool) -> list[dict]:
         """New shards with the rows of ``df``, one for each partition that has any."""
         j, folder = self._fs(), f"{self.root}/data/{uuid.uuid4().hex}"
@@ -91,8 +112,9 @@ class ShardStore:
     def append(self, rows: DataFrame) -> dict:
         """Add one arrival as small shards: what each task has, without a shuffle."""
         base = self.manifest()
-        schema = union_schema(self.schema(base), rows.schema)
-        return self.commit(base, base["shards"] + self._write(rows, False), schema)
+        union_schema(self.schema(base), rows.schema)
+        new = self._write(rows, False)
+        return self._rebased(base, lambda m: (m["shards"] + new, union_schema(self.schema(m), rows.schema)))
 
     def tier(self, size: int) -> int:
         return max(0, math.floor(math.log(max(size, 1) / self.smallest_bytes, self.fan_in))) if size > self.smallest_bytes else 0
@@ -114,15 +136,14 @@ class ShardStore:
         """
         base = self.manifest()
         while runs := self.due(base["shards"]):
-            shards, schema = base["shards"], self.schema(base)
+            schema, swaps = self.schema(base), []
             for run in runs:
                 total = sum(s["bytes"] for s in run)
                 rows = self.spark.read.schema(schema).parquet(*[s["path"] for s in run]).coalesce(math.ceil(total / self.target_bytes))
-                gone = {s["path"] for s in run}
-                shards = [s for s in shards if s["path"] not in gone] + self._write(rows, True)
-            if len(shards) >= len(base["shards"]):  # a scan may keep more partitions than asked for
+                swaps.append(({s["path"] for s in run}, self._write(rows, True)))
+            if sum(len(made) for _, made in swaps) >= sum(len(gone) for gone, _ in swaps):  # a scan may keep more partitions than asked for
                 return base
-            base = self.commit(base, shards)
+            base = self._rebased(base, functools.partial(swapped, swaps=swaps))
         return base
 
     def schema(self, manifest: dict) -> T.StructType:
@@ -147,6 +168,14 @@ def union_schema(a: T.StructType, b: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
 
 
+def swapped(manifest: dict, swaps: list[tuple[set[str], list[dict]]]) -> tuple[list[dict], None] | None:
+    """The shards of ``manifest`` with each merge in place of what it was made of, where all of that is still listed; None if no merge is left."""
+    listed = {s["path"] for s in manifest["shards"]}
+    left = [(gone, made) for gone, made in swaps if gone <= listed]
+    replaced = {path for gone, _ in left for path in gone}
+    return ([s for s in manifest["shards"] if s["path"] not in replaced] + [s for _, made in left for s in made], None) if left else None
+
+
 class CommitConflict(RuntimeError):
     """Another writer committed this version first."""
 
