@@ -146,3 +146,11 @@ def test_masked(spark):
     assert out.columns == docs.columns
     assert {r.doc_id: r.text for r in out.collect()} == {1: "é [EMAIL] and [PHONE]!", 2: None, 3: "plain"}
     assert pii.masked(docs.limit(0)).count() == 0
+
+
+def test_columns_named_like_inner_ones_stay(spark):
+    docs = spark.createDataFrame([(1, "a@b.cc", "a", "b", "c", "d", 5)], "doc_id long, Text string, _text string, _digits string, in_0 string, SPANS string, n_ip int")
+    got = pii.personal_data(docs)
+    assert got.columns == ["doc_id", "Text", "_text", "_digits", "in_0", "n_email", "n_ip", "n_card", "n_phone", "base", "spans", "scores"]
+    r = got.first()
+    assert (r.doc_id, r.Text, r["_text"], r["_digits"], r["in_0"], r.n_email, r.n_ip) == (1, "a@b.cc", "a", "b", "c", 1, 0)

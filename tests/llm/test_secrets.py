@@ -107,3 +107,11 @@ def test_clean_texts_have_no_random_strings(spark, sf_dir):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.scan_secrets(docs, secrets.train(secrets.labelled_samples(docs))).count() == 0
+
+
+def test_columns_named_like_inner_ones_stay(spark):
+    docs = spark.createDataFrame([(1, "token=abcdef", "a", "b", "c", "d", 5)], "doc_id long, Text string, _text string, _candidates string, in_0 string, SPANS string, n_hex int")
+    got = secrets.scan_secrets(docs, [0.0] * secrets.SIZE**2)
+    assert got.columns == ["doc_id", "Text", "_text", "_candidates", "in_0", "n_assign", "n_access", "n_hex", "base", "spans"]
+    r = got.first()
+    assert (r.doc_id, r.Text, r["_text"], r["_candidates"], r["in_0"], r.n_assign, r.n_hex) == (1, "token=abcdef", "a", "b", "c", 1, 0)

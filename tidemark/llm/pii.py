@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents
-from tidemark.llm.spans import apart_from, beside, joined, labelled, replaced, with_matches
+from tidemark.llm.spans import apart_from, beside, beside_columns, joined, labelled, replaced, with_matches
 
 # The contract's patterns, with possessive repeats (where no match can give
 # anything back) and look-behinds in place of retries inside a run, so that long runs
@@ -110,6 +110,10 @@ def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     Base spans stay whatever their score. Null and empty texts have no spans; texts of any length are
     scanned whole. Rows stay as many as they are. All columns of ``docs`` stay, but for those with an added name.
     """
+    return beside_columns(docs, text, _with_personal_data, (*[f"n_{k}" for k in BASE], "base", "spans", "scores"))
+
+
+def _with_personal_data(docs: DataFrame, text: str) -> DataFrame:
     whole = "_text"
     df = docs.withColumn(whole, F.coalesce(F.col(text), F.lit("")))
     t = F.col(whole)
@@ -142,7 +146,7 @@ def masked(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets, as in ``[EMAIL]``; null texts stay null."""
     columns = docs.columns
     return (
-        personal_data(docs.select([F.col(c).alias(f"in_{i}") for i, c in enumerate(columns)]), f"in_{columns.index(text)}")
+        _with_personal_data(docs.select([F.col(c).alias(f"in_{i}") for i, c in enumerate(columns)]), f"in_{columns.index(text)}")
         .withColumn(f"in_{columns.index(text)}", replaced(f"in_{columns.index(text)}", "spans", "concat('[', upper(kind), ']')"))
         .select([F.col(f"in_{i}").alias(c) for i, c in enumerate(columns)])
     )

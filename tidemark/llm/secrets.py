@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents, written
-from tidemark.llm.spans import apart_from, joined, with_matches
+from tidemark.llm.spans import apart_from, beside_columns, joined, with_matches
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9+/_.=-]++)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
@@ -113,8 +113,12 @@ def scan_secrets(docs: DataFrame, model: list[float], text: str = "text", thresh
     ``base`` and ``spans`` are arrays of (kind, start, end) by start, then kind
     as listed; ``spans`` adds kind ``random``: strings of 12 or more characters that overlap no base span
     and whose transitions have a log-likelihood ratio above ``threshold`` in the mean and of ``evidence`` or more in all. Null and empty
-    texts have none; a text of any length is scanned whole; every row stands for itself. Columns of ``docs`` with these names are replaced.
+    texts have none; a text of any length is scanned whole; every row stands for itself. Columns of ``docs`` with these names are replaced, all others stay.
     """
+    return beside_columns(docs, text, lambda df, own: _with_secrets(df, own, model, threshold, evidence), (*[f"n_{k}" for k in BASE], "base", "spans"))
+
+
+def _with_secrets(docs: DataFrame, text: str, model: list[float], threshold: float, evidence: float) -> DataFrame:
     df = with_base_spans(_texts(docs, text))
     df = with_matches(df, "_candidates", "_text", CANDIDATE, F.col("_text").rlike("[A-Za-z0-9+/_-]{12}"), lambda hit: looks_random(hit, model, threshold, evidence))
     df = df.withColumn("_base", F.concat(*[f"_{k}" for k in BASE])).withColumn("_random", apart_from("_candidates", "_base"))

@@ -42,6 +42,17 @@ def running(values: str, step: str, first: int) -> str:
     return bound(values, "v", f"if(size(v) > 0, {bound(_chunks('v', 'some', fold('some')), 'parts', whole)}, cast(array() as array<bigint>))")
 
 
+def beside_columns(docs: DataFrame, text: str, found: Callable[[DataFrame, str], DataFrame], added: tuple[str, ...]) -> DataFrame:
+    """``docs`` and the columns ``added`` that ``found`` makes of it, which take the place of columns with their names, in either case.
+
+    Meanwhile the columns of ``docs`` have names that no inner column has.
+    """
+    inner = {f"in_{i}": c for i, c in enumerate(docs.columns)}
+    own = next(i for i, c in inner.items() if c.lower() == text.lower())
+    names = {a.lower() for a in added}
+    return found(docs.toDF(*inner), own).select(*[F.col(i).alias(c) for i, c in inner.items() if c.lower() not in names], *added)
+
+
 def with_matches(df: DataFrame, out: str, text: str, pattern: str, if_any: Column, keep: Callable[[Column], Column] | None = None, ahead: int | None = None) -> DataFrame:
     """Add ``out``: leftmost non-overlapping matches as (start, end, hit), in code points.
 
