@@ -74,3 +74,28 @@ def test_write_path_splits_large_payloads(spark, tmp_path, small_blocks, monkeyp
         result = sync.sync_batch(store, landed.filter(F.col("path").endswith(f"/{k}.xml")).withColumn("observed_at", ts(at)), RULES)
         assert len(result["done"]) == 1 and not result["failed"]
     check_three_days(store)
+
+
+def tree_of(spark, *texts):
+    payloads = spark.createDataFrame([("p", t.encode()) for t in texts], "provider string, content binary")
+    return feed.parse(payloads.select("provider", ts("2031-01-01 00:00:00").alias("observed_at"), "content"))
+
+
+ODD = """<root><prices><price cruise_id="a" class_id="k" price="1"/><price cruise_id="a" class_id="k" price="n/a"/><price class_id="k" price="x"/><price cruise_id="a" class_id="k"/></prices>
+<spos><spo cruise_id="a" class_id="k" cabin_id="1" spo="2"/><spo cruise_id="a" class_id="k" cabin_id="1" spo=""/></spos><free><cruise><cabin id="1"/></cruise><cruise id="a"/><cruise id="a"><cabin/><cabin id="2"/></cruise></free></root>"""
+
+
+@pytest.mark.parametrize("texts", [(DAY1, DAY2, DAY3), (MORE, ODD), ("<root/>",), ()])
+def test_counts_are_those_of_the_records(spark, texts):
+    tree = tree_of(spark, *texts)
+    sets = feed.shred(tree)
+    rejects = {r["section"]: r["n"] for r in sets.pop("rejects").groupBy("section").agg(F.count("*").alias("n")).collect()}
+    assert {r["section"]: (r["n"], r["rejected"]) for r in feed.record_counts(tree).collect()} == {s: (df.count(), rejects.get(s, 0)) for s, df in sets.items()}
+
+
+def test_documents_are_parsed_once_for_all_counts(spark, sf_dir, capsys):
+    from tidemark.plans.feed_queries import xml_shred
+
+    xml_shred(spark, sf_dir).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("/lineitem.parquet") == 2, "one read for prices, offers and rejects, one for free cabins"
