@@ -1,7 +1,10 @@
-"""Lines are sent once, to more tasks for more rows."""
+"""Lines are sent once, to more tasks for more rows, and every way to join gives the same rows."""
 
 import re
 
+import pytest
+
+from tidemark.operators import catalogue
 from tidemark.plans import catalogue_queries, roles
 
 
@@ -14,3 +17,22 @@ def test_minimal_prices_need_no_second_exchange(spark, sf_dir, capsys, monkeypat
     monkeypatch.setattr(roles, "PART_ROWS", 1000)
     n = str(roles.table(spark, sf_dir, "lineitem").count() // 1000)
     assert exchanges(catalogue_queries.min_price(spark, sf_dir), capsys) == [("l_orderkey", n, "REPARTITION_BY_NUM")] * 2
+
+
+@pytest.mark.parametrize("name", ["detail", "detail_json"])
+def test_details_send_lines_once_for_prices_and_once_for_rooms(spark, sf_dir, capsys, name):
+    sent = exchanges(getattr(catalogue_queries, name)(spark, sf_dir), capsys)
+    assert sorted((key, why) for key, _, why in sent) == [("cruise_id", "ENSURE_REQUIREMENTS"), *[("l_orderkey", "REPARTITION_BY_NUM")] * 2]
+    assert len({n for _, n, _ in sent}) == 1
+
+
+@pytest.mark.parametrize("name", ["detail", "detail_json", "class_prices", "detail_rooms"])
+def test_large_dimensions_give_the_same_rows(spark, sf_dir, capsys, monkeypatch, name):
+    query = getattr(catalogue_queries, name)
+    small = query(spark, sf_dir)
+    monkeypatch.setattr(catalogue, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(catalogue, "HASHED_ROWS", 0)
+    large = query(spark, sf_dir)
+    large.explain()
+    assert "ShuffledHashJoin" in capsys.readouterr().out
+    assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import encode_cursor
 
 
+#: Rows of a dimension that every task may hold; and those up to which a join by it is left to Spark's size check.
+BROADCAST_ROWS = 500_000
+HASHED_ROWS = 2_000_000
+
+
+def _dimension(df: DataFrame, large: bool) -> DataFrame:
+    """``df`` as the right side of a join by its key: a large one is hashed in parts, so that the other side, which has more rows, is not sorted."""
+    return df.hint("shuffle_hash") if large else df
+
+
 def min_prices(prices: DataFrame, sales: DataFrame) -> DataFrame:
     """Lowest open price of each (provider, cruise_id) over prices and sales."""
     both = prices.select("provider", "cruise_id", "base_price").unionAll(sales.select("provider", "cruise_id", "base_price"))
@@ -91,18 +101,26 @@ def page_documents(items: DataFrame, item: Column, page_size: int, provider: str
     return pages.join(top, provider).select(provider, "page", body.alias("body"))
 
 
-def class_prices(prices: DataFrame, classes: DataFrame) -> DataFrame:
-    """Open prices with their class's attributes; a missing name is ''."""
-    return prices.join(classes.select("provider", "class_id", F.col("name").alias("class_name"), "base_seats"), ["provider", "class_id"], "left").withColumn(
+def class_prices(prices: DataFrame, classes: DataFrame, parts: int | None = None) -> DataFrame:
+    """Open prices with their class's attributes; a missing name is ''. Prices that must be dealt by class are dealt by cruise again, if ``parts`` is given."""
+    large = classes.count() > HASHED_ROWS
+    rows = prices.join(_dimension(classes.select("provider", "class_id", F.col("name").alias("class_name"), "base_seats"), large), ["provider", "class_id"], "left").withColumn(
         "class_name", F.coalesce("class_name", F.lit("")))
+    return rows.repartition(parts, "cruise_id") if large and parts else rows
 
 
-def detail_rooms(rooms: DataFrame, availability: DataFrame, classes: DataFrame, stages: DataFrame) -> DataFrame:
-    """Rooms of each cruise: those with an open availability version, free or not, with class and stage names."""
-    return (
-        availability.select("provider", "cruise_id", "room_id", "available").join(rooms, ["provider", "room_id"])
-        .join(classes.select("provider", "class_id", F.col("name").alias("class_name")), ["provider", "class_id"], "left")
+def detail_rooms(rooms: DataFrame, availability: DataFrame, classes: DataFrame, stages: DataFrame, parts: int | None = None) -> DataFrame:
+    """Rooms of each cruise: those with an open availability version, free or not, with class and stage names.
+
+    Rooms get their names first, so availability, which has most rows, is joined once; while rooms are few enough to be sent whole, its rows
+    stay where they are, and else they are dealt by cruise again, if ``parts`` is given.
+    """
+    named = (
+        rooms.join(classes.select("provider", "class_id", F.col("name").alias("class_name")), ["provider", "class_id"], "left")
         .join(stages.select("provider", "stage_id", F.col("name").alias("stage_name")), ["provider", "stage_id"], "left"))
+    large = rooms.count() > BROADCAST_ROWS
+    found = availability.select("provider", "cruise_id", "room_id", "available").join(_dimension(named, large) if large else F.broadcast(named), ["provider", "room_id"])
+    return found.repartition(parts, "cruise_id") if large and parts else found
 
 
 def detail(tours: DataFrame, objects: DataFrame, priced: DataFrame, roomed: DataFrame) -> DataFrame:
@@ -116,8 +134,9 @@ def detail(tours: DataFrame, objects: DataFrame, priced: DataFrame, roomed: Data
     # A cruise's prices are gathered once; its rooms pick theirs from that list.
     prices = priced.groupBy(*keys).agg(F.sort_array(F.collect_list(price)).alias("prices"))
     rooms = roomed.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("number", "room_id", "class_id", "class_name", "stage_name", "available"))).alias("rooms"))
+    ships = _dimension(objects.select("provider", "object_id", F.col("name").alias("ship_name")), objects.count() > HASHED_ROWS)
     both = (
-        tours.join(objects.select("provider", "object_id", F.col("name").alias("ship_name")), ["provider", "object_id"], "left")
+        tours.join(ships, ["provider", "object_id"], "left")
         .join(prices, keys, "left").join(rooms, keys, "left").withColumn("prices", F.coalesce("prices", F.array().cast(empty))))
     own = lambda r: F.sort_array(F.transform(F.filter("prices", lambda p: p["class_id"] == r["class_id"]), lambda p: F.struct(
         *[p[c].alias(c) for c in ("partial_buyout", "base_price", "child_price", "extra_seat", "currency")])))

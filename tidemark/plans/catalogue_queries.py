@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import content_tag, decode_cursor, encode_cursor
 from tidemark.operators import catalogue as c
 from tidemark.plans.registry import query
-from tidemark.plans.roles import role, table, with_roles
+from tidemark.plans.roles import parts, role, table, with_roles
 
 MIN = "select provider, cruise_id, min(base_price) as minimal_price from (select provider, cruise_id, base_price from prices union all select provider, cruise_id, base_price from sales) group by provider, cruise_id"
 COUNTS = "select provider, cruise_id, cast(count(*) as int) as room_counts from availability where available group by provider, cruise_id"
@@ -129,9 +129,9 @@ ROOMS = """select a.provider, a.cruise_id, a.room_id, a.available, r.number, r.c
     left join classes k on k.provider = a.provider and k.class_id = r.class_id left join stages s on s.provider = a.provider and s.stage_id = r.stage_id"""
 
 
-def _rooms(spark, sf_dir):
+def _rooms(spark, sf_dir, n=None):
     r = lambda n: role(spark, sf_dir, n)
-    return c.detail_rooms(r("rooms"), r("availability"), r("classes"), r("stages"))
+    return c.detail_rooms(r("rooms"), r("availability"), r("classes"), r("stages"), n)
 
 
 @query("detail_rooms", with_roles("availability rooms classes stages", ROOMS))
@@ -141,7 +141,8 @@ def detail_rooms(spark, sf_dir):
 
 def _detail(spark, sf_dir):
     r = lambda n: role(spark, sf_dir, n)
-    return c.detail(r("tours"), r("objects"), c.class_prices(r("prices"), r("classes")), _rooms(spark, sf_dir))
+    n = parts(table(spark, sf_dir, "lineitem"))
+    return c.detail(r("tours"), r("objects"), c.class_prices(r("prices"), r("classes"), n), _rooms(spark, sf_dir, n))
 
 
 DETAIL = f""", priced as (select p.cruise_id, string_agg(cast(p.base_price as string) || '/' || p.partial_buyout || '/' || p.class_id || '/' || coalesce(k.name, ''), ';' order by p.base_price, p.partial_buyout, p.class_id) as prices
