@@ -8,14 +8,24 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import encode_cursor
 
 
-#: Rows of a dimension that every task may hold; and those up to which a join by it is left to Spark's size check.
+#: Rows of rooms, and of classes or ships, up to which they are sent whole to every task; no setting of Spark's size check changes how lines are sent.
 BROADCAST_ROWS = 500_000
-HASHED_ROWS = 2_000_000
+HASHED_ROWS = 100_000
+
+
+def hashed(classes: DataFrame) -> bool:
+    """Whether ``classes`` (or ships) are too many to be sent whole: rows that are joined by them should then be dealt by their key at first."""
+    return classes.count() > HASHED_ROWS
+
+
+def hashed_rooms(rooms: DataFrame) -> bool:
+    """The same of ``rooms``."""
+    return rooms.count() > BROADCAST_ROWS
 
 
 def _dimension(df: DataFrame, large: bool) -> DataFrame:
     """``df`` as the right side of a join by its key: a large one is hashed in parts, so that the other side, which has more rows, is not sorted."""
-    return df.hint("shuffle_hash") if large else df
+    return df.hint("shuffle_hash") if large else F.broadcast(df)
 
 
 def min_prices(prices: DataFrame, sales: DataFrame) -> DataFrame:
@@ -102,8 +112,11 @@ def page_documents(items: DataFrame, item: Column, page_size: int, provider: str
 
 
 def class_prices(prices: DataFrame, classes: DataFrame, parts: int | None = None) -> DataFrame:
-    """Open prices with their class's attributes; a missing name is ''. Prices that must be dealt by class are dealt by cruise again, if ``parts`` is given."""
-    large = classes.count() > HASHED_ROWS
+    """Open prices with their class's attributes; a missing name is ''.
+
+    If classes are ``hashed``, prices meet them where their class is (prices that are dealt by class stay there), and are then dealt by cruise, if ``parts`` is given.
+    """
+    large = hashed(classes)
     rows = prices.join(_dimension(classes.select("provider", "class_id", F.col("name").alias("class_name"), "base_seats"), large), ["provider", "class_id"], "left").withColumn(
         "class_name", F.coalesce("class_name", F.lit("")))
     return rows.repartition(parts, "cruise_id") if large and parts else rows
@@ -113,13 +126,13 @@ def detail_rooms(rooms: DataFrame, availability: DataFrame, classes: DataFrame,
     """Rooms of each cruise: those with an open availability version, free or not, with class and stage names.
 
     Rooms get their names first, so availability, which has most rows, is joined once; while rooms are few enough to be sent whole, its rows
-    stay where they are, and else they are dealt by cruise again, if ``parts`` is given.
+    stay where they are, and else (``hashed_rooms``) they meet rooms where those are, and are then dealt by cruise, if ``parts`` is given.
     """
     named = (
         rooms.join(classes.select("provider", "class_id", F.col("name").alias("class_name")), ["provider", "class_id"], "left")
         .join(stages.select("provider", "stage_id", F.col("name").alias("stage_name")), ["provider", "stage_id"], "left"))
-    large = rooms.count() > BROADCAST_ROWS
-    found = availability.select("provider", "cruise_id", "room_id", "available").join(_dimension(named, large) if large else F.broadcast(named), ["provider", "room_id"])
+    large = hashed_rooms(rooms)
+    found = availability.select("provider", "cruise_id", "room_id", "available").join(_dimension(named, large), ["provider", "room_id"])
     return found.repartition(parts, "cruise_id") if large and parts else found
 
 
@@ -134,7 +147,7 @@ def detail(tours: DataFrame, objects: DataFrame, priced: DataFrame, roomed: Data
     # A cruise's prices are gathered once; its rooms pick theirs from that list.
     prices = priced.groupBy(*keys).agg(F.sort_array(F.collect_list(price)).alias("prices"))
     rooms = roomed.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("number", "room_id", "class_id", "class_name", "stage_name", "available"))).alias("rooms"))
-    ships = _dimension(objects.select("provider", "object_id", F.col("name").alias("ship_name")), objects.count() > HASHED_ROWS)
+    ships = _dimension(objects.select("provider", "object_id", F.col("name").alias("ship_name")), hashed(objects))
     both = (
         tours.join(ships, ["provider", "object_id"], "left")
         .join(prices, keys, "left").join(rooms, keys, "left").withColumn("prices", F.coalesce("prices", F.array().cast(empty))))

@@ -119,10 +119,15 @@ def content_tags(spark, sf_dir):
     return _json(spark, sf_dir).select("cruise_id", content_tag(F.col("body")).alias("tag"))
 
 
+def _priced(spark, sf_dir, n=None):
+    classes = role(spark, sf_dir, "classes")
+    return c.class_prices(role(spark, sf_dir, "prices", by_order=not c.hashed(classes)), classes, n)
+
+
 @query("class_prices", with_roles("prices classes", """select p.cruise_id, p.class_id, p.partial_buyout, p.base_price, coalesce(k.name, '') as class_name, k.base_seats from prices p
     left join classes k on k.provider = p.provider and k.class_id = p.class_id"""))
 def class_prices(spark, sf_dir):
-    return c.class_prices(role(spark, sf_dir, "prices"), role(spark, sf_dir, "classes")).select("cruise_id", "class_id", "partial_buyout", "base_price", "class_name", "base_seats")
+    return _priced(spark, sf_dir).select("cruise_id", "class_id", "partial_buyout", "base_price", "class_name", "base_seats")
 
 
 ROOMS = """select a.provider, a.cruise_id, a.room_id, a.available, r.number, r.class_id, k.name as class_name, s.name as stage_name from availability a join rooms r on r.provider = a.provider and r.room_id = a.room_id
@@ -131,7 +136,8 @@ ROOMS = """select a.provider, a.cruise_id, a.room_id, a.available, r.number, r.c
 
 def _rooms(spark, sf_dir, n=None):
     r = lambda n: role(spark, sf_dir, n)
-    return c.detail_rooms(r("rooms"), r("availability"), r("classes"), r("stages"), n)
+    rooms = r("rooms")
+    return c.detail_rooms(rooms, role(spark, sf_dir, "availability", by_order=not c.hashed_rooms(rooms)), r("classes"), r("stages"), n)
 
 
 @query("detail_rooms", with_roles("availability rooms classes stages", ROOMS))
@@ -142,7 +148,7 @@ def detail_rooms(spark, sf_dir):
 def _detail(spark, sf_dir):
     r = lambda n: role(spark, sf_dir, n)
     n = parts(table(spark, sf_dir, "lineitem"))
-    return c.detail(r("tours"), r("objects"), c.class_prices(r("prices"), r("classes"), n), _rooms(spark, sf_dir, n))
+    return c.detail(r("tours"), r("objects"), _priced(spark, sf_dir, n), _rooms(spark, sf_dir, n))
 
 
 DETAIL = f""", priced as (select p.cruise_id, string_agg(cast(p.base_price as string) || '/' || p.partial_buyout || '/' || p.class_id || '/' || coalesce(k.name, ''), ';' order by p.base_price, p.partial_buyout, p.class_id) as prices
